@@ -5,12 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlens.llm import encode, packing, sentences
+from harborlens.llm import encode, names, packing, sentences
+from harborlens.session import cut
 from harborlens.sources.tables import table
 
 CAPACITY = 2048
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.pairs(cut(names.link(table(spark, folder, "observations"), ["org", "isp"])))
+
+
+def p1_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Each spelling with the least spelling of its body, and how many the body has."""
+    linked = cut(names.link(table(spark, folder, "observations"), ["org", "isp"]))
+    each = linked.groupBy("body").agg(F.min("name").alias("body_name"), F.count(F.lit(1)).alias("n_spellings"))
+    return linked.join(each, "body").select("name", "body_name", "n_spellings")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(table(spark, folder, "documents"))
 
@@ -29,6 +41,6 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentences(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_pack, p9_fill, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_bodies, p8_ids, p9_pack, p9_fill, p10_found)}
 
 ORACLE: dict[str, str] = {}
