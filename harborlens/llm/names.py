@@ -26,6 +26,8 @@ from harborlens.session import cut
 
 #: Most edits between a spelling's core and its pivot; half of it for cores of under SHORT characters.
 RADIUS, SHORT = 2, 6
+#: Rounds in which the cores that no pivot reaches pass on their greatest link; typing errors make no longer chains.
+SPREAD = 4
 #: Tasks that distinct names are read in; reading is the costly part, so it isn't left to the size in bytes.
 READERS = 96
 
@@ -92,10 +94,12 @@ def roots(points: DataFrame) -> DataFrame:
     first = near.groupBy("block", "core").agg(F.min(F.struct("d", (-F.col("o_support")).alias("s"), (-F.col("o_weight")).alias("w"), F.col("other").alias("parent")))["parent"].alias("parent"))
     first = cut(first)
     orphans = points.where("support = 1").join(first, ["block", "core"], "left_anti")
-    among = radius_join(orphans, orphans).join(own, ["block", "core"])
-    others = orphans.select("block", F.col("core").alias("other"), F.col("support").alias("o_support"), F.col("weight").alias("o_weight"), F.col("core").alias("o_core"))
-    among = among.join(others, ["block", "other"]).where(rank("o_") > rank(""))
-    second = among.groupBy("block", "core").agg(F.min(F.struct("d", (-F.col("o_weight")).alias("w"), F.col("other").alias("parent")))["parent"].alias("parent"))
+    links = cut(radius_join(orphans, orphans).select("block", "core", "other"))
+    best = orphans.select("block", "core", F.struct("weight", "core").alias("label"))
+    for _ in range(SPREAD):
+        theirs = best.select("block", F.col("core").alias("other"), "label")
+        best = links.join(theirs, ["block", "other"]).select("block", "core", "label").unionByName(best).groupBy("block", "core").agg(F.max("label").alias("label"))
+    second = best.where("label.core <> core").select("block", "core", F.col("label.core").alias("parent"))
     up = cut(first.unionByName(second))
     step = up.select("block", F.col("core").alias("parent"), F.col("parent").alias("higher"))
     for _ in range(3):  # parents rise in rank; chains longer than this lie far outside the radius
