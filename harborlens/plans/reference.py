@@ -1,6 +1,396 @@
-"""Queries over the exposure tables: current state, lifecycle and the analyst's reports."""
+"""Queries over the exposure tables, each over its whole tables; limits stand only where a report has one."""
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLE = {}
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from harborlens.operators import classify as C
+from harborlens.operators import exposure, geo, hosts, shards, tripwire
+from harborlens.plans.reference_sql import ORACLE  # noqa: F401
+from harborlens.sources.tables import table
+
+TARGET, REGION_NAME = ("QX", "QA"), "county"
+NETWORKS = [
+    ("10.0.0.0/17", "QX", "QA"), ("10.0.128.0/17", "QX", "QB"), ("10.1.0.0/16", "QX", "QA"), ("10.1.64.0/18", "QX", "QC"), ("10.2.0.0/18", "QY", "QA"),
+    ("2001:db8:1::/48", "QX", "QA"), ("2001:db8::/32", "QX", "QD"),
+]
+SELECTORS = ["honeypot", "proxy"]
+SHARD_THRESHOLD, RETENTION_DAYS, TOP_HOSTS, HONEYPOT_PORTS = 200, 30, 15, 3
+QUERIES: dict = {}
+SERVICE = ["ip", "port"]
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _t(name: str):
+    return partial(lambda n, s, d: table(s, d, n), name)
+
+
+observations, vulns, banners = _t("observations"), _t("vulns"), _t("daily_downloads")
+kev, epss = _t("kev_list"), _t("epss_scores")
+
+
+def networks(s: SparkSession) -> DataFrame:
+    return s.createDataFrame(NETWORKS, "cidr string, country string, region string")
+
+
+def state(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    return exposure.current_state(observations(s, d), [*SERVICE, "date", *columns])
+
+
+def last_day(s: SparkSession, d: str) -> DataFrame:
+    """One row with the latest date, for a broadcast."""
+    return observations(s, d).agg(F.max("date").alias("last_date"))
+
+
+def with_last(df: DataFrame, s: SparkSession, d: str, on: Column) -> DataFrame:
+    return df.join(F.broadcast(last_day(s, d)), on).drop("last_date")
+
+
+@query
+def obs_projection(s, d):
+    return exposure.project(banners(s, d))
+
+
+@query
+def vuln_explode(s, d):
+    return exposure.vulnerabilities(banners(s, d), kev(s, d), epss(s, d))
+
+
+@query
+def current_state(s, d):
+    return state(s, d, "org", "city", "product", "tier", "hash", "obs_id")
+
+
+@query
+def lifecycle(s, d):
+    return exposure.lifecycle(observations(s, d))
+
+
+@query
+def q1_tier_accounting(s, d):
+    joined = state(s, d, "tier").join(vulns(s, d), [*SERVICE, "date"], "left")
+    return (
+        joined.groupBy("tier")
+        .agg(F.count(F.lit(1)).alias("host_services"), F.count_distinct("ip").alias("unique_hosts"), F.count_distinct(F.when(F.col("in_kev"), F.col("ip"))).alias("hosts_with_kev"))
+        .orderBy(F.desc("hosts_with_kev"), F.asc_nulls_last("tier"))
+    )
+
+
+@query
+def tier_accounting_services(s, d):
+    """As q1, with services counted once however many vulnerabilities they have."""
+    flag = vulns(s, d).groupBy(*SERVICE, "date").agg(F.bool_or("in_kev").alias("in_kev"))
+    joined = state(s, d, "tier").join(flag, [*SERVICE, "date"], "left")
+    return joined.groupBy("tier").agg(F.count(F.lit(1)).alias("host_services"), F.count_distinct("ip").alias("unique_hosts"), F.count_distinct(F.when(F.col("in_kev"), F.col("ip"))).alias("hosts_with_kev"))
+
+
+@query
+def q2_top_kev(s, d):
+    chosen = state(s, d, "tier", "org", "city").where(F.col("tier").isin(C.TIERS[:3]))
+    top = chosen.join(vulns(s, d).where("in_kev"), [*SERVICE, "date"]).distinct().orderBy(F.desc_nulls_last("epss"), F.desc_nulls_last("cvss"), "ip", "port", "cve").limit(25)
+    return top.select("tier", "ip", "org", "city", "port", "cve", "cvss", F.round("epss", 3).alias("epss"))
+
+
+@query
+def q3_new_exposures(s, d):
+    seen = exposure.lifecycle(observations(s, d)).select(*SERVICE, F.col("first_seen").alias("date"))
+    latest = with_last(observations(s, d), s, d, F.col("date") == F.col("last_date"))
+    return latest.join(seen, [*SERVICE, "date"]).select("tier", "ip", "org", "city", "port", "product").orderBy(F.asc_nulls_last("tier"), "ip", "port", "product")
+
+
+@query
+def q4_longest_open(s, d):
+    open_ = with_last(exposure.lifecycle(observations(s, d)), s, d, F.col("last_seen") == F.col("last_date"))
+    both = open_.join(state(s, d, "tier", "org", "product").drop("date"), SERVICE)
+    return both.select("ip", "port", "first_seen", "last_seen", "span_days", "tier", "org", "product").orderBy(F.desc("span_days"), "first_seen", "ip", "port").limit(25)
+
+
+@query
+def q5_remediated(s, d):
+    gone = with_last(exposure.lifecycle(observations(s, d)), s, d, F.col("last_seen") < F.col("last_date"))
+    return gone.select("ip", "port", "first_seen", F.col("last_seen").alias("last_seen_before_gone")).orderBy(F.desc("last_seen"), "ip", F.asc_nulls_last("port")).limit(25)
+
+
+@query
+def q6_org_rollup(s, d):
+    joined = state(s, d, "tier", "org").join(vulns(s, d), [*SERVICE, "date"], "left")
+    rolled = joined.groupBy("org", "tier").agg(F.count_distinct("ip").alias("hosts"), F.count_distinct(F.when(F.col("in_kev"), F.col("cve"))).alias("kev_cves"), F.round(F.max("epss"), 3).alias("worst_epss"))
+    return rolled.where("kev_cves > 0").orderBy(F.desc("kev_cves"), F.asc_nulls_last("org"), F.asc_nulls_last("tier")).limit(30)
+
+
+@query
+def q7_ics_latest(s, d):
+    rows = observations(s, d).where(F.col("port").isin(C.ICS_QUERY_PORTS))
+    return with_last(rows, s, d, F.col("date") == F.col("last_date")).select("date", "ip", "org", "city", "port", "product").orderBy(F.asc_nulls_last("org"), "ip", "port", "product")
+
+
+@query
+def keyed_dedup_first(s, d):
+    return exposure.keep_first(banners(s, d), ["src_file"]).select("rec_id", "src_file")
+
+
+def _gated(s, d) -> DataFrame:
+    located = geo.locate(banners(s, d).withColumnRenamed("ip_str", "ip"), networks(s))
+    return geo.gates(located, TARGET, REGION_NAME)
+
+
+@query
+def geo_gate_primary(s, d):
+    return _gated(s, d).select("rec_id", "in_target", "keep_primary", "keep_primary_alone")
+
+
+@query
+def geo_gate_store(s, d):
+    return _gated(s, d).select("rec_id", "keep_store", "keep_rescue", "keep_tripwire_alone")
+
+
+@query
+def gated_dedup(s, d):
+    """The collector's order: off-target banners go first, then the first of each key within the day's file stays."""
+    kept = _gated(s, d).where("keep_primary").withColumnRenamed("ip", "ip_str")
+    return exposure.keep_first(kept, ["src_file"]).select("rec_id", "src_file")
+
+
+@query
+def geo_range_join(s, d):
+    return geo.locate(observations(s, d).select("ip").distinct(), networks(s))
+
+
+@query
+def kev_membership(s, d):
+    return exposure.enrich(vulns(s, d).select("cve").distinct(), kev(s, d), epss(s, d)).select("cve", "in_kev")
+
+
+@query
+def epss_lookup_null(s, d):
+    return exposure.enrich(vulns(s, d).select("cve").distinct(), kev(s, d), epss(s, d)).select("cve", "epss")
+
+
+@query
+def epss_lookup_zero(s, d):
+    return exposure.enrich(vulns(s, d).select("cve").distinct(), kev(s, d), epss(s, d), F.lit(0.0)).select("cve", "epss")
+
+
+def host_frame(s, d) -> DataFrame:
+    return hosts.aggregate_hosts(exposure.with_city(banners(s, d)), ["date"])
+
+
+def _text(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.concat_ws("|", F.col(c).cast("array<string>")) for c in columns})
+
+
+@query
+def host_aggregate(s, d):
+    return _text(host_frame(s, d), "ports", "products", "hostnames", "domains", "cves")
+
+
+@query
+def first_truthy_org(s, d):
+    return host_frame(s, d).select("date", "ip", "org", "city")
+
+
+@query
+def honeypot_guard(s, d):
+    return hosts.without_honeypots(host_frame(s, d), HONEYPOT_PORTS).select("date", "ip", "n_ports")
+
+
+def _classified(s, d) -> DataFrame:
+    h = host_frame(s, d)
+    tier = C.classify(F.col("org"), F.col("hostnames"), F.col("domains"), F.col("ports"))
+    return h.withColumn("t", tier).select(*h.columns, "t.tier", "t.reason")
+
+
+@query
+def tier_classify(s, d):
+    return _classified(s, d).select("date", "ip", "tier", "reason")
+
+
+def _scored(s, d) -> DataFrame:
+    h = _classified(s, d)
+    cves = exposure.enrich(h.select("date", "ip", F.explode("cves").alias("cve")), kev(s, d), epss(s, d), F.lit(0.0))
+    per_host = cves.groupBy("date", "ip").agg(F.count_if("in_kev").alias("n_kev"), F.max("epss").alias("max_epss"))
+    names = {"ics": C.ICS_PORTS, "admin": C.ADMIN_PORTS, "dbs": C.DB_PORTS}
+    full = h.join(per_host, ["date", "ip"], "left").fillna({"n_kev": 0, "max_epss": 0.0}).withColumns({k: C.named_ports(F.col("ports"), v) for k, v in names.items()})
+    return full.withColumn("score", C.score(F.col("n_kev"), F.size("ics"), F.size("admin"), F.size("dbs"), F.col("max_epss")))
+
+
+@query
+def actionability_score(s, d):
+    return _scored(s, d).select("date", "ip", "n_kev", F.round("max_epss", 3).alias("epss"), F.size("cves").cast("bigint").alias("n_cves"), "score", F.concat_ws("|", F.slice("products", 1, 3)).alias("products"))
+
+
+@query
+def port_protocol_lookup(s, d):
+    return _text(_scored(s, d).select("date", "ip", "ics", "admin", "dbs"), "ics", "admin", "dbs")
+
+
+@query
+def tier_accounting_spine(s, d):
+    counted = _scored(s, d).groupBy("tier").agg(
+        F.count(F.lit(1)).alias("hosts"), F.count_if(F.col("n_kev") > 0).alias("with_kev"), F.count_if(F.size("admin") > 0).alias("with_admin"), F.count_if(F.size("ics") > 0).alias("with_ics")
+    )
+    spine = s.createDataFrame([(t, i) for i, t in enumerate(C.TIERS)], "tier string, place int")
+    return spine.join(counted, "tier", "left").fillna(0).select("tier", "hosts", "with_kev", "with_admin", "with_ics")
+
+
+@query
+def topn_per_tier(s, d):
+    """The highest scores of each tier and day; ties go by address. The rank limit is pushed below the exchange."""
+    rank = F.row_number().over(Window.partitionBy("date", "tier").orderBy(F.desc("score"), "ip"))
+    flagged = _scored(s, d).where("score > 0").select("date", "tier", "ip", "score", rank.cast("bigint").alias("rank"))
+    return flagged.where(F.col("rank") <= TOP_HOSTS)
+
+
+def _hits(s, d) -> DataFrame:
+    return tripwire.flagged(observations(s, d), SELECTORS, ["date"])
+
+
+def _run(s, d) -> tuple[DataFrame, DataFrame]:
+    """The last day's hits, and the ledger before it: what all earlier days together leave."""
+    hits = _hits(s, d).join(F.broadcast(last_day(s, d)))
+    before = hits.where("date < last_date")
+    previous = before.agg(F.max("date").alias("previous"))
+    return hits.where("date = last_date").drop("last_date"), _ledger(before.drop("last_date")).join(F.broadcast(previous)).withColumn("active", F.col("last_seen") == F.col("previous")).drop("previous")
+
+
+def _ledger(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("ip").agg(
+        F.min("date").alias("first_seen"),
+        F.max("date").alias("last_seen"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("selectors")))).alias("selectors"),
+        F.max(F.when(F.col("banner_ts").isNotNull(), F.struct("date", "banner_ts")))["banner_ts"].alias("last_banner_ts"),
+    )
+
+
+@query
+def selector_union(s, d):
+    return _text(_hits(s, d), "selectors", "ports").select("date", "ip", "selectors", "ports", "n_hits")
+
+
+def _status(name: str):
+    def run(s, d):
+        hits, ledger = _run(s, d)
+        return tripwire.status(hits, ledger).where(F.col("status") == name).select("ip")
+
+    run.__name__ = f"ledger_{name}"
+    return query(run)
+
+
+for _name in ("new", "ongoing", "cleared"):
+    _status(_name)
+
+
+@query
+def ledger_roll_forward(s, d):
+    hits, ledger = _run(s, d)
+    run = F.lit(hits.agg(F.max("date")).head()[0])
+    return _text(tripwire.roll(ledger, hits, run), "selectors")
+
+
+@query
+def staleness_days(s, d):
+    hits = _hits(s, d)
+    return hits.select("date", "ip", tripwire.staleness(F.col("banner_ts"), F.col("date")).cast("bigint").alias("days"), tripwire.staleness_note(F.col("banner_ts"), F.col("date")).alias("note"))
+
+
+@query
+def host_summary_line(s, d):
+    return _hits(s, d).select("date", "ip", tripwire.summary(F.col("ip"), F.col("org"), F.col("city"), F.col("selectors"), F.col("ports")).alias("line"))
+
+
+@query
+def cidr_leaves(s, d):
+    return shards.leaves(observations(s, d), SHARD_THRESHOLD).where("family = 4").select("prefix", "length", "n")
+
+
+@query
+def cidr_leaves_v6(s, d):
+    return shards.leaves(observations(s, d), SHARD_THRESHOLD).where("family = 6").select("prefix", "length", "n")
+
+
+def _manifest(s, d) -> DataFrame:
+    """Per file: reported is what observations hold of it, raw the banners fetched; the gate is the primary one."""
+    reported = observations(s, d).groupBy("src_file").agg(F.count(F.lit(1)).alias("reported"))
+    gated = _gated(s, d).withColumnRenamed("ip", "ip_str")
+    saved = exposure.keep_first(gated.where("keep_primary"), ["src_file"]).groupBy("src_file").agg(F.count(F.lit(1)).alias("saved"))
+    raw = gated.groupBy("src_file").agg(F.count(F.lit(1)).alias("raw"), F.count_if(~F.col("keep_primary")).alias("dropped"))
+    full = reported.join(raw, "src_file", "full").join(saved, "src_file", "left").fillna(0)
+    pct = F.when(F.col("reported") == 0, 100).otherwise(F.expr("raw * 100 div reported"))
+    return full.withColumn("pct", pct.cast("bigint")).withColumn("drop_pct", F.when(F.col("raw") == 0, 0).otherwise(F.expr("dropped * 100 div raw")).cast("bigint"))
+
+
+@query
+def completeness_manifest(s, d):
+    return _manifest(s, d)
+
+
+@query
+def day_status(s, d):
+    code = F.when(F.col("saved") == 0, 2).when(F.col("drop_pct") > 30, 4).when((F.col("reported") > 0) & (F.col("pct") < 90), 3).otherwise(0)
+    return _manifest(s, d).select("src_file", code.alias("status"))
+
+
+@query
+def daily_window(s, d):
+    """Banners per collection day within the open window of one day around it, and outside."""
+    day = F.to_date("banner_ts")
+    inside = (day > F.date_sub("date", 1)) & (day < F.date_add("date", 1))
+    return observations(s, d).groupBy("date").agg(F.count_if(inside).alias("inside"), F.count_if(~inside).alias("outside"), F.count_if(day.isNull()).alias("untimed"))
+
+
+@query
+def report_summary(s, d):
+    o = observations(s, d)
+    services = F.count_distinct(F.struct(*SERVICE)).alias("services")
+    return o.groupBy("asn").agg(F.count_distinct("ip").alias("hosts"), services, F.count_distinct("date").alias("days"), F.min("date").alias("first_seen"), F.max("date").alias("last_seen"))
+
+
+@query
+def city_counts(s, d):
+    return observations(s, d).groupBy("city").agg(F.count_distinct("ip").alias("n"))
+
+
+@query
+def asset_inventory(s, d):
+    seen = observations(s, d).groupBy(*SERVICE).agg(F.count_distinct("date").alias("days_seen"), F.max("date").alias("last_seen"))
+    return state(s, d, "product", "city").drop("date").alias("c").join(seen.alias("l"), [F.col(f"c.{k}").eqNullSafe(F.col(f"l.{k}")) for k in SERVICE]).select("c.ip", "c.port", "product", "city", "days_seen", "last_seen")
+
+
+@query
+def grand_totals(s, d):
+    return observations(s, d).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("days"), F.count_distinct("ip").alias("hosts"))
+
+
+@query
+def retention_filter(s, d):
+    return with_last(observations(s, d), s, d, F.col("date") > F.date_sub("last_date", RETENTION_DAYS)).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def tripwire_stream(s, d):
+    from harborlens.streaming.tripwire import stream_ledger
+
+    return stream_ledger(s, f"{d}/observations.parquet", SELECTORS)
+
+
+@query
+def json_archive_roundtrip(s, d):
+    """Banners written as daily archives of JSON lines and read back through the archive source: rows and hosts per day."""
+    from harborlens.session import scratch_path
+    from harborlens.sources import archive
+
+    folder = scratch_path(s, "archive")
+    archive.write_days(banners(s, d), folder)
+    back = archive.read_days(s, folder)
+    return back.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ip_str").alias("hosts"))
+
+
+__all__ = ["ORACLE", "QUERIES"]
