@@ -22,7 +22,7 @@ def with_city(banners: DataFrame) -> DataFrame:
 
 def project(banners: DataFrame) -> DataFrame:
     """The 20 columns of observations (and rec_id), with each host's tier of that day."""
-    rows = with_city(banners).where("ip_str <> ''")
+    rows = with_city(banners.drop("tier")).where("ip_str <> ''")
     hosts = aggregate_hosts(rows, ["date"])
     tiers = hosts.select("date", F.col("ip").alias("ip_str"), classify(F.col("org"), F.col("hostnames"), F.col("domains"), F.col("ports"))["tier"].alias("tier"))
     flat = rows.join(tiers, ["date", "ip_str"])
@@ -43,9 +43,9 @@ def vulnerabilities(banners: DataFrame, kev: DataFrame, epss: DataFrame) -> Data
 
 def enrich(rows: DataFrame, kev: DataFrame, epss: DataFrame, missing: Column | None = None) -> DataFrame:
     """rows with in_kev and epss by cve; an unknown probability is null, or ``missing``."""
-    listed = kev.select("cve", F.lit(True).alias("listed")).distinct()
+    listed = kev.select("cve", F.lit(True).alias("_listed")).distinct()
     scores = epss.groupBy("cve").agg(F.max("epss").alias("epss"))
-    out = rows.join(listed, "cve", "left").join(scores, "cve", "left").withColumn("in_kev", F.coalesce("listed", F.lit(False))).drop("listed")
+    out = rows.drop("in_kev", "epss").join(listed, "cve", "left").join(scores, "cve", "left").withColumn("in_kev", F.coalesce("_listed", F.lit(False))).drop("_listed")
     return out if missing is None else out.withColumn("epss", F.coalesce("epss", missing))
 
 

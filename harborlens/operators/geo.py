@@ -33,8 +33,9 @@ def locate(addresses: DataFrame, networks: DataFrame, ip: str = "ip") -> DataFra
     single = addresses.select(ip).distinct().withColumn("key", key).where("key is not null")
     asks = F.array(*[F.when(F.length("key") == int(f), F.concat(F.lit(f + ":"), F.substring("key", 1, int(n)))) for f, n in sizes]) if sizes else F.array().cast("array<string>")
     found = single.select(ip, F.explode(F.array_compact(asks)).alias("prefix")).join(prefixes, "prefix")
-    best = found.groupBy(ip).agg(F.max_by("place", F.length("prefix")).alias("place"))
-    return addresses.join(best, ip, "left").select(*addresses.columns, F.col("place.country").alias("country"), F.col("place.region").alias("region"))
+    best = found.groupBy(ip).agg(F.max_by("place", F.length("prefix")).alias("_located"))
+    rest = [c for c in addresses.columns if c not in ("country", "region")]  # those of the networks take their place
+    return addresses.select(*rest).join(best, ip, "left").select(*rest, F.col("_located.country").alias("country"), F.col("_located.region").alias("region"))
 
 
 def is_place(country: Column, region: Column, target: tuple[str, str]) -> Column:

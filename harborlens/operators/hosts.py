@@ -23,7 +23,7 @@ def first_given(value: str, order: str):
 
 def aggregate_hosts(banners: DataFrame, by: list[str]) -> DataFrame:
     """by, ip and the host's sets. Sets are of distinct elements, so they don't follow a host's number of banners."""
-    rows = banners.where("ip_str <> ''").withColumnRenamed("ip_str", "ip")
+    rows = banners.drop("ip").where("ip_str <> ''").withColumnRenamed("ip_str", "ip")
     sets = {"hostnames": given(F.col("hostnames")), "domains": given(F.col("domains")), "cves": F.coalesce(F.map_keys("vulns"), F.array().cast("array<string>"))}
     scalar = rows.groupBy(*by, "ip").agg(
         first_given("org", "rec_id").alias("org"),

@@ -24,7 +24,7 @@ def test_changes(spark, rows):
         (f(5), "removed", "ip_str", ""), (f(5), "removed", "ver", ""), (f(5), "removed", "port", ""), (f(5), "removed", "Port", ""),
     ]
     assert rows(drift.changes(df)) == sorted(expected, key=repr)
-    assert {r.src_file[-12]: r.n_broken for r in drift.broken_lines(df).collect()} == {"1": 4, "2": 0, "4": 0, "5": 1}
+    assert {r.src_file[-9]: r.n_broken for r in drift.broken_lines(df).collect()} == {"1": 4, "2": 0, "4": 0, "5": 1}
 
 
 def test_ingest_and_replay(spark):
@@ -33,12 +33,12 @@ def test_ingest_and_replay(spark):
     raw = drift.ingest(df, target)
     aliases = drift.approved_aliases(drift.changes(df), target)
     assert aliases == {"ver": "version"}
-    got = {(r.src_file[-12], r.line_no): r for r in drift.replay(raw, aliases, target).collect()}
+    got = {(r.src_file[-9], r.line_no): r for r in drift.replay(raw, aliases, target).collect()}
     assert len(got) == 3 + 4 + 2
     assert (got["1", 0].version, got["1", 0].tags, got["1", 0].port, got["1", 0].rescued) == ("1.2.3", ["a", "b"], 1, {"info": '"login page"'})
     assert (got["2", 0].version, got["2", 0].tags, got["2", 0].rescued) == ("4.5.6", ["a"], {"os": '"Lantern OS 5"'})
     assert (got["2", 3].port, got["4", 0].version, got["4", 0].port, got["4", 0].rescued) == (2, "4.5", 7, {"Port": "9"})
-    before = {(r.src_file[-12], r.line_no): r for r in raw.collect()}
+    before = {(r.src_file[-9], r.line_no): r for r in raw.collect()}
     assert before["4", 0].port is None and before["4", 0].rescued == {"ver": '{"major":4,"minor":5}', "port": '"7"', "Port": "9"}
 
 

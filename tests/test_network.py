@@ -30,7 +30,7 @@ def test_longest_network_wins(spark):
     nets = {str(ipaddress.ip_network(n, strict=False)) for n in nets}
     table = spark.createDataFrame([(n, "QX", n) for n in nets], "cidr string, country string, region string")
     ips = [f"10.{rng.randrange(5)}.{rng.randrange(256)}.{rng.randrange(256)}" for _ in range(200)] + ["2001:db8:1::5", "2001:db8:2::5", "2001:db9::", "bad", None]
-    for r in geo.locate(spark.createDataFrame([(i, "clash") for i in ips], "ip string, place string"), table).collect():
+    for r in geo.locate(spark.createDataFrame([(i, "clash", "clash") for i in ips], "ip string, place string, country string"), table).collect():
         try:
             a = ipaddress.ip_address(r.ip)
         except ValueError:

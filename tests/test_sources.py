@@ -59,6 +59,10 @@ def test_projection_edge_cases(spark):
     df = spark.createDataFrame([], schema)
     kev, epss = spark.createDataFrame([("CVE-1",)], "cve string"), spark.createDataFrame([("CVE-1", 0.5)], "cve string, epss double")
     assert exposure.project(df).isEmpty() and exposure.vulnerabilities(df, kev, epss).isEmpty()
+    clash = spark.sql("select 'CVE-1' as cve, false as in_kev, 0.1D as epss, 'x' as listed")
+    assert [tuple(r) for r in exposure.enrich(clash, kev, epss).select("in_kev", "epss", "listed").collect()] == [(True, 0.5, "x")]
+    extra = spark.sql("select 1L as rec_id, 'x-events-2025-01-01.json.gz' as src_file, 'a' as ip_str, 'b' as ip, 'c' as tier, 'd' as city, 1 as port, 'o' as org").unionByName(df, allowMissingColumns=True)
+    assert [(r.ip, r.tier, r.city) for r in exposure.project(extra).collect()] == [("a", "small_business", None)]
     one = spark.sql("select 1L as rec_id, 'x-events-2025-01-01.json.gz' as src_file, 'a' as ip_str, 1 as port, map('CVE-1', '{\"cvss\": \"7.5\"}', 'CVE-2', '{\"cvss\": \"n/a\"}', 'CVE-3', '7') as vulns")
     got = {r.cve: (r.cvss, r.in_kev, r.epss) for r in exposure.vulnerabilities(one, kev, epss).collect()}
     assert got == {"CVE-1": (7.5, True, 0.5), "CVE-2": (None, False, None), "CVE-3": (None, False, None)}
