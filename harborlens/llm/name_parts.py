@@ -120,7 +120,10 @@ def _split_joined(tokens: list[str]) -> list[str]:
     for t in tokens:
         if len(t) >= 11 and not readings(t):
             for word in VOCABULARY:
-                if len(word) >= 5 and len(t) - len(word) >= 4 and (t.endswith(word) or t.startswith(word)):
+                if len(word) < 5 or not (t.endswith(word) or t.startswith(word)):
+                    continue
+                rest = t[: -len(word)] if t.endswith(word) else t[len(word) :]
+                if len(rest) >= 4 or rest in SMALL:
                     t = t[: -len(word)] + " " + word if t.endswith(word) else word + " " + t[len(word) :]
                     break
         out += t.split()
