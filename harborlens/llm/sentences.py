@@ -28,24 +28,34 @@ PAIRS = regex.compile(
 STRUCTURE = regex.compile(r"\A\s*(?:[{\[][^\p{L}]*\"[\s\S]*?\"\s*[:,\]][\s\S]*|\|[^\n]*\|[^\n]*\n?[\s\S]*|HTTP/\d[\s\S]*|\d{3}[ -][^\s.]+\.[^\s]+ [\s\S]*)\Z")
 SCRIPTS = [("th", r"\p{Thai}"), ("ja", r"[\p{Hiragana}\p{Katakana}]"), ("zh", r"\p{Han}"), ("hi", r"\p{Devanagari}"), ("ar", r"\p{Arabic}"), ("el", r"\p{Greek}"), ("ru", r"\p{Cyrillic}")]
 LATIN = ("en", "es", "de", "fr")
-LOOK = 48
+#: Characters that rules see before and after a place, and that an abbreviation's rule sees before it.
+LOOK, ABBREVIATION = 48, 18
+
+
+def may_break(piece: str, at: int) -> bool:
+    """Whether any rule could break here: not after a mark inside a token, as in addresses, versions and file names."""
+    following = piece[at : at + 1]
+    return not following or following.isspace() or following.isupper() or following.istitle() or not piece[at - 1].isascii()
 
 
 @lru_cache(maxsize=64)
 def tables(lang: str) -> tuple:
     """(candidates, rules, rules for blanks or None) of a language, compiled."""
     of = LATIN if lang == "latin" else (lang,)
-    rules: list[tuple[bool, str, str]] = []
+    rules: list[tuple[bool, str, str, bool]] = []
     for one in of:
         if one in R.NEVER:
-            rules.append((False, R.NEVER[one], r"\s*[\p{L}\p{N}]"))
+            rules.append((False, R.NEVER[one], r"\s*[\p{L}\p{N}]", True))
         if one in R.BEFORE_NUMBER:
-            rules.append((False, R.BEFORE_NUMBER[one], r"\s*\p{N}"))
-        rules += R.BY_LANGUAGE.get(one, [])
-    compiled = tuple((b, regex.compile(before) if before else None, regex.compile(after) if after else None) for b, before, after in rules + R.COMMON)
-    blanks = tuple((b, regex.compile(before) if before else None, regex.compile(after) if after else None) for b, before, after in R.THAI_BLANKS) if lang == "th" else None
+            rules.append((False, R.BEFORE_NUMBER[one], r"\s*\p{N}", True))
+        rules += [(*rule, False) for rule in R.BY_LANGUAGE.get(one, [])]
+
+    def compiled(table) -> tuple:
+        return tuple((b, regex.compile(before) if before else None, regex.compile(after) if after else None, dot) for b, before, after, dot in table)
+
+    blanks = compiled((*rule, False) for rule in R.THAI_BLANKS) if lang == "th" else None
     ends = regex.compile(f"(?:{R.GREEK_ENDS if lang == 'el' else R.ENDS})" + R.CLOSERS)
-    return ends, compiled, blanks
+    return ends, compiled(rules + [(*rule, False) for rule in R.COMMON]), blanks
 
 
 def language(text: str, lang: str | None) -> str:
@@ -79,8 +89,12 @@ def pieces(text: str) -> Iterator[tuple[int, int]]:
 
 
 def decide(rules: tuple, before: str, after: str) -> bool:
-    for breaks, left, right in rules:
-        if (left is None or left.search(before)) and (right is None or right.match(after)):
+    """The first rule that matches; abbreviations only where a period is the last mark, within the few characters they have."""
+    dot, tail = before[-1:] == ".", before[-ABBREVIATION:]
+    for breaks, left, right, abbreviation in rules:
+        if abbreviation and not dot:
+            continue
+        if (right is None or right.match(after)) and (left is None or left.search(tail if abbreviation else before)):
             return breaks
     return False
 
@@ -90,7 +104,7 @@ def boundaries(piece: str, lang: str) -> Iterator[int]:
     ends, rules, blanks = tables(lang)
     spans = [m.span() for m in PAIRS.finditer(piece)]
     k = 0
-    places = [(m.end(), rules) for m in ends.finditer(piece)]
+    places = [(at, rules) for at in (m.end() for m in ends.finditer(piece)) if may_break(piece, at)]
     if blanks:
         places = sorted(places + [(m.start(), blanks) for m in regex.finditer(r"(?<=\S)\s+(?=\S)", piece)], key=lambda p: p[0])
     for at, table in places:
