@@ -60,6 +60,7 @@ def _byte_letters() -> dict[str, int]:
 class Vocabulary:
     """Token bytes by id, and merges (left id, right id, rank, merged id). About 50,000 of each, whatever the data."""
 
+    name: str
     tokens: list[tuple[int, bytes]]
     merges: list[tuple[int, int, int, int]]
 
@@ -70,6 +71,7 @@ class Vocabulary:
         letters, ids = _byte_letters(), model["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         return Vocabulary(
+            path,
             [(i, bytes(letters[c] for c in t)) for t, i in ids.items()],
             [(ids[a], ids[b], rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)],
         )
@@ -139,13 +141,24 @@ class Encoder:
 
 #: Rows of a batch given to one query.
 ROWS = 2_000
+#: The encoder of this worker process: tasks that follow each other share its tables and remembered words.
+_here: dict[str, Encoder] = {}
+
+
+def worker_encoder(vocabulary: Vocabulary) -> Encoder:
+    if vocabulary.name not in _here:
+        _here.clear()
+        _here[vocabulary.name] = Encoder(vocabulary)
+    return _here[vocabulary.name]
 
 
 def _mapped(rows: DataFrame, columns: list[str], schema: str, work, vocabulary: Vocabulary) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # of fixed size
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        from harborlens.llm.encode import worker_encoder
+
+        encoder = worker_encoder(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 yield work(encoder, batch.slice(start, ROWS))
