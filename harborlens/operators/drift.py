@@ -147,8 +147,9 @@ def _fits(value: Column, kind: str) -> Column:
 
 
 def ingest(lines: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
-    """src_file, line_no, the typed target columns, and ``rescued``: the other values, by field, as JSON text."""
-    values = fields(lines).groupBy("src_file", "line_no").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("doc"))
+    """src_file, line_no, the typed target columns, and ``rescued``: the other values, by field, as JSON text. One projection."""
+    each = F.transform_values(F.try_variant_get("doc", "$", "map<string,variant>"), lambda k, v: F.to_json(v))
+    values = records(lines).select("src_file", "line_no", F.map_filter(each, lambda k, v: v != "null").alias("doc"))
     typed, doc = {}, F.col("doc")
     for name, kind in target.items():
         value = doc[name]

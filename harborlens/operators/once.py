@@ -43,12 +43,13 @@ def message_key() -> list[Column]:
 class SeenState:
     """Under root: one dictionary part and one set of bitmaps per batch. CURRENT lists the batches in force.
 
-    Dictionary parts are only ever added; bitmaps are one bit a message, so each batch writes them anew.
+    Dictionary parts are only ever added; bitmaps are one bit a message, so each batch writes them anew. A shard's distinct
+    messages are numbered in one task; the number of shards is fixed when a state is begun.
     """
 
     spark: SparkSession
     root: str
-    shards: int = 256
+    shards: int = 1024
 
     def _path(self, name: str):
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")

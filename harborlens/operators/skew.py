@@ -48,8 +48,8 @@ def percentiles(weighted: DataFrame, **points: float) -> DataFrame:
 
 def hot_keys(rows: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
     """field, key_value, n_rows of the keys held by at least that share of all rows (rows without a key count as rows)."""
-    least = rows.count() * share
-    return totals(compress(rows, keys, value)).where(F.col("n_rows") >= F.lit(least)).drop("n_values")
+    total = rows.count()  # from the files' footers
+    return totals(compress(rows, keys, value)).where(F.col("n_rows") / F.lit(total) >= F.lit(share)).drop("n_values")
 
 
 def profile(rows: DataFrame, keys: list[str], small: str, large: str) -> DataFrame:
