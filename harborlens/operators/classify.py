@@ -76,20 +76,34 @@ def named_ports(ports: Column, names: dict[int, str], in_order: bool = False) ->
     return found if in_order else F.array_sort(F.array_distinct(found))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value made once however often body mentions it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def classify(org: Column, hostnames: Column, domains: Column, ports: Column) -> Column:
-    """struct(tier, reason)."""
+    """struct(tier, reason). Each text is built, and each list searched, once per host."""
     ports = F.coalesce(F.array_compact(ports), F.array().cast("array<int>"))
-    hostnames, domains = F.array_sort(given(hostnames)), F.array_sort(given(domains))
-    org_text = F.lower(F.coalesce(org, F.lit("")))
-    lists = F.filter(F.array(joined(hostnames, " "), joined(domains, " ")), lambda x: x != "")
-    identity = F.lower(F.array_join(lists, " "))
-    bulk, consumer = any_word(org_text, CONSUMER + TRANSIT), any_word(org_text, CONSUMER)
-    text = F.when(bulk, identity).otherwise(F.concat(identity, F.lit(" "), org_text))
-    via = F.when(bulk, F.lit(" (via customer domain)")).otherwise(F.lit(""))
-    ics = named_ports(ports, ICS_PORTS, in_order=True)
+    read = F.struct(F.lower(F.coalesce(org, F.lit(""))).alias("org"), F.array_sort(given(hostnames)).alias("hosts"), F.array_sort(given(domains)).alias("domains"), F.array_join(named_ports(ports, ICS_PORTS, in_order=True), ", ").alias("ics"))
+    return let(read, _identify)
+
+
+def _identify(h: Column) -> Column:
+    lists = F.filter(F.array(joined(h["hosts"], " "), joined(h["domains"], " ")), lambda x: x != "")
+    seen = F.struct(F.lower(F.array_join(lists, " ")).alias("identity"), any_word(h["org"], CONSUMER + TRANSIT).alias("bulk"), any_word(h["org"], CONSUMER).alias("consumer"))
+    return let(seen, lambda s: let(F.when(s["bulk"], s["identity"]).otherwise(F.concat(s["identity"], F.lit(" "), h["org"])), lambda text: _search(h, s, text)))
+
+
+def _search(h: Column, s: Column, text: Column) -> Column:
+    words = F.struct(*[first_word(text, lst).alias(k) for k, lst in (("critical", CRITICAL), ("government", GOVERNMENT), ("parish", PARISHES), ("education", EDUCATION))])
+    return let(words, lambda w: _decide(h, s, w))
+
+
+def _decide(h: Column, s: Column, w: Column) -> Column:
+    via = F.when(s["bulk"], F.lit(" (via customer domain)")).otherwise(F.lit(""))
 
     def ends(suffixes: list[str]) -> Column:
-        return F.exists(domains, lambda d: F.exists(_list(suffixes), lambda s: F.endswith(d, s)))
+        return F.exists(h["domains"], lambda d: F.exists(_list(suffixes), lambda x: F.endswith(d, x)))
 
     def out(tier: str, reason: Column) -> Column:
         return F.struct(F.lit(tier).alias("tier"), reason.alias("reason"))
@@ -97,19 +111,18 @@ def classify(org: Column, hostnames: Column, domains: Column, ports: Column) ->
     def keyword(kind: str, word: Column) -> Column:
         return F.concat(F.lit(f"{kind} '"), word, F.lit("'"), via)
 
-    named = F.trim(identity) != ""
-    words = {"c": first_word(text, CRITICAL), "g": first_word(text, GOVERNMENT), "p": first_word(text, PARISHES), "e": first_word(text, EDUCATION)}
+    nameless = (F.size(h["hosts"]) == 0) & (F.size(h["domains"]) == 0)
     return (
-        F.when(F.size(ics) > 0, out("critical_infrastructure", F.concat(F.lit("ICS protocol exposed: "), F.array_join(ics, ", "))))
-        .when(words["c"].isNotNull(), out("critical_infrastructure", keyword("keyword", words["c"])))
+        F.when(h["ics"] != "", out("critical_infrastructure", F.concat(F.lit("ICS protocol exposed: "), h["ics"])))
+        .when(w["critical"].isNotNull(), out("critical_infrastructure", keyword("keyword", w["critical"])))
         .when(ends(GOVERNMENT_SUFFIXES), out("government", F.lit("gov domain")))
-        .when(words["g"].isNotNull(), out("government", keyword("keyword", words["g"])))
-        .when(words["p"].isNotNull(), out("government", keyword("parish", words["p"])))
+        .when(w["government"].isNotNull(), out("government", keyword("keyword", w["government"])))
+        .when(w["parish"].isNotNull(), out("government", keyword("parish", w["parish"])))
         .when(ends(EDUCATION_SUFFIXES), out("education", F.lit("edu domain")))
-        .when(words["e"].isNotNull(), out("education", keyword("keyword", words["e"])))
-        .when(consumer & (any_word(identity, DYNAMIC) | ((F.size(hostnames) == 0) & (F.size(domains) == 0))), out("residential", F.lit("consumer ISP / dynamic rDNS")))
-        .when(named | ((F.trim(org_text) != "") & ~bulk), out("small_business", F.lit("commercial org, not gov/edu/infra")))
-        .when(F.trim(org_text) != "", out("unclassified", F.lit("bulk network address space, no customer identity")))
+        .when(w["education"].isNotNull(), out("education", keyword("keyword", w["education"])))
+        .when(s["consumer"] & (any_word(s["identity"], DYNAMIC) | nameless), out("residential", F.lit("consumer ISP / dynamic rDNS")))
+        .when((F.trim(s["identity"]) != "") | ((F.trim(h["org"]) != "") & ~s["bulk"]), out("small_business", F.lit("commercial org, not gov/edu/infra")))
+        .when(F.trim(h["org"]) != "", out("unclassified", F.lit("bulk network address space, no customer identity")))
         .otherwise(out("unclassified", F.lit("no attribution signal")))
     )
 
