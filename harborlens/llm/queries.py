@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harborlens.llm import encode, names, packing, sentences
 from harborlens.session import cut
-from harborlens.sources.tables import table
+from harborlens.sources.tables import spread, table
 
 CAPACITY = 2048
 
@@ -23,12 +23,16 @@ def p1_bodies(spark: SparkSession, folder: str) -> DataFrame:
     return linked.join(each, "body").select("name", "body_name", "n_spellings")
 
 
+def _documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", *columns))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return encode.encode(table(spark, folder, "documents"))
+    return encode.encode(_documents(spark, folder, "text"))
 
 
 def p9_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(encode.token_counts(table(spark, folder, "documents")), CAPACITY)
+    return packing.pack(encode.token_counts(_documents(spark, folder, "text")), CAPACITY)
 
 
 def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,7 +42,7 @@ def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
-    return sentences.sentences(table(spark, folder, "documents"))
+    return sentences.sentences(_documents(spark, folder, "text", "lang"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_bodies, p8_ids, p9_pack, p9_fill, p10_found)}
