@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harborlens.operators import classify as C
-from harborlens.operators import exposure, geo, hosts, shards, tripwire
+from harborlens.operators import exposure, geo, hosts, manifest, shards, tripwire
 from harborlens.plans.reference_sql import ORACLE  # noqa: F401
 from harborlens.sources.tables import table
 
@@ -323,8 +323,7 @@ def _manifest(s, d) -> DataFrame:
     saved = exposure.keep_first(gated.where("keep_primary"), ["src_file"]).groupBy("src_file").agg(F.count(F.lit(1)).alias("saved"))
     raw = gated.groupBy("src_file").agg(F.count(F.lit(1)).alias("raw"), F.count_if(~F.col("keep_primary")).alias("dropped"))
     full = reported.join(raw, "src_file", "full").join(saved, "src_file", "left").fillna(0)
-    pct = F.when(F.col("reported") == 0, 100).otherwise(F.expr("raw * 100 div reported"))
-    return full.withColumn("pct", pct.cast("bigint")).withColumn("drop_pct", F.when(F.col("raw") == 0, 0).otherwise(F.expr("dropped * 100 div raw")).cast("bigint"))
+    return manifest.percentages(full)
 
 
 @query
@@ -334,8 +333,7 @@ def completeness_manifest(s, d):
 
 @query
 def day_status(s, d):
-    code = F.when(F.col("saved") == 0, 2).when(F.col("drop_pct") > 30, 4).when((F.col("reported") > 0) & (F.col("pct") < 90), 3).otherwise(0)
-    return _manifest(s, d).select("src_file", code.alias("status"))
+    return _manifest(s, d).select("src_file", manifest.status().alias("status"))
 
 
 @query
@@ -364,6 +362,12 @@ def asset_inventory(s, d):
     return state(s, d, "product", "city").drop("date").alias("c").join(seen.alias("l"), [F.col(f"c.{k}").eqNullSafe(F.col(f"l.{k}")) for k in SERVICE]).select("c.ip", "c.port", "product", "city", "days_seen", "last_seen")
 
 
+@query
+def appliances(s, d):
+    """Every service with a product as last seen, in order of port and address."""
+    return state(s, d, "product", "city").where("product <> ''").select(*SERVICE, "product", "city").orderBy(F.asc_nulls_last("port"), "ip")
+
+
 @query
 def grand_totals(s, d):
     return observations(s, d).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("days"), F.count_distinct("ip").alias("hosts"))

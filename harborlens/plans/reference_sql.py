@@ -164,6 +164,7 @@ select hits.ip, min(hits.date) as first_seen, max(hits.date) as last_seen, any_v
     "city_counts": "select city, count(distinct ip) as n from observations group by city",
     "asset_inventory": f"""with {_STATE}, l as (select ip, port, count(distinct date) as days_seen, max(date) as last_seen from observations group by ip, port)
 select cs.ip, cs.port, cs.product, cs.city, l.days_seen, l.last_seen from cs join l on l.ip = cs.ip and l.port is not distinct from cs.port""",
+    "appliances": f"with {_STATE} select ip, port, product, city from cs where product <> ''",
     "grand_totals": "select count(*) as rows, count(distinct date) as days, count(distinct ip) as hosts from observations",
     "retention_filter": f"select date, count(*) as n from observations where date > {_LAST} - 30 group by date",
     "json_archive_roundtrip": f"select {_DAY} as date, count(*) as n, count(distinct ip_str) as hosts from daily_downloads where ip_str <> '' group by 1",
