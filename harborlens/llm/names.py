@@ -14,7 +14,8 @@ Defined cases
     * null and blank names, and names without a letter or digit, are no names and have no row.
     * equal strings of both columns are one spelling; how often a spelling occurs only settles ties.
     * a practice's name without its purpose joins the one body of that person, if there is exactly one.
-    * a name with only the initial of its given name joins the nearest fitting person of that purpose, if only one is nearest.
+    * a name with only the initial of its given name joins the nearest fitting person of that purpose, if only one is nearest;
+      without one, such names of one purpose and initial join each other within the radius.
 """
 
 from __future__ import annotations
@@ -135,7 +136,11 @@ def bodies(parsed: DataFrame) -> DataFrame:
     least = reached.groupBy("block", "core", "body").agg(F.min("d").alias("d"))
     nearest = least.withColumn("best", F.min("d").over(Window.partitionBy("block", "core"))).where("d = best")
     nearest = nearest.groupBy("block", "core").agg(F.min("body").alias("found"), F.count(F.lit(1)).alias("n_found")).where("n_found = 1")
-    initials = short.join(nearest, ["block", "core"], "left").withColumn("body", F.coalesce("found", body("block", "core")))
+    # those without such a person keep together among themselves, by the least core in reach
+    left = short.select("block", "core").distinct().join(nearest, ["block", "core"], "left_anti")
+    among = radius_join(left, left).groupBy("block", "core").agg(F.min("other").alias("least"))
+    initials = short.join(nearest, ["block", "core"], "left").join(among, ["block", "core"], "left")
+    initials = initials.withColumn("body", F.coalesce("found", body("block", F.least("core", "least"))))
     return whole.select("name", "body").unionByName(bare.select("name", "body")).unionByName(initials.select("name", "body"))
 
 

@@ -19,6 +19,7 @@ BODIES = [
     ["Velmora Fiber Networks", "VFN (Velmora)", "Velmora Fiber Ntwks", "Fiber Networks Velmora", "Velmroa Fiber"],
     ["Water Works of Kirnléñbed", "Kirnlenbed Wtr Wks", "Kirnlénbed_Water Works -"],
     ["Zzyzx", "ZZYZX"],
+    ["A. Brittruvnist Optometry", "Britruvnist A., Optometry"],
 ]
 
 
