@@ -28,6 +28,8 @@ PAIRS = regex.compile(
 STRUCTURE = regex.compile(r"\A\s*(?:[{\[][^\p{L}]*\"[\s\S]*?\"\s*[:,\]][\s\S]*|\|[^\n]*\|[^\n]*\n?[\s\S]*|HTTP/\d[\s\S]*|\d{3}[ -][^\s.]+\.[^\s]+ [\s\S]*)\Z")
 SCRIPTS = [("th", r"\p{Thai}"), ("ja", r"[\p{Hiragana}\p{Katakana}]"), ("zh", r"\p{Han}"), ("hi", r"\p{Devanagari}"), ("ar", r"\p{Arabic}"), ("el", r"\p{Greek}"), ("ru", r"\p{Cyrillic}")]
 LATIN = ("en", "es", "de", "fr")
+#: Share of a text's letters from which on a script decides its language; below it, letters of other scripts are strays.
+SCRIPT_SHARE = 0.1
 #: Characters that rules see before and after a place, and that an abbreviation's rule sees before it.
 LOOK, ABBREVIATION = 48, 18
 
@@ -59,11 +61,15 @@ def tables(lang: str) -> tuple:
 
 
 def language(text: str, lang: str | None) -> str:
-    """The tables to use: the script decides where the column can't be right."""
-    found = next((code for code, script in SCRIPTS if regex.search(script, text)), None) if lang not in LATIN else None
+    """The tables to use: the column's, or where it says nothing, those of the script that the text is in."""
     if lang in R.NEVER or lang in ("zh", "ja"):
         return lang
-    return found or "latin"
+    least = SCRIPT_SHARE * len(regex.findall(r"\p{L}", text))
+    counts = {code: len(regex.findall(script, text)) for code, script in SCRIPTS}
+    if counts["ja"] and counts["ja"] >= counts["zh"] / 4:  # kana stand among Han characters
+        counts["ja"] += counts["zh"]
+    code = max(counts, key=counts.__getitem__)
+    return code if counts[code] and counts[code] >= least else "latin"
 
 
 def pieces(text: str) -> Iterator[tuple[int, int]]:
