@@ -26,9 +26,10 @@ def project(banners: DataFrame) -> DataFrame:
     hosts = aggregate_hosts(rows, ["date"])
     tiers = hosts.select("date", F.col("ip").alias("ip_str"), classify(F.col("org"), F.col("hostnames"), F.col("domains"), F.col("ports"))["tier"].alias("tier"))
     flat = rows.join(tiers, ["date", "ip_str"])
+    info = F.col("info") if "info" in flat.columns else F.lit(None).cast("string").alias("info")
     return flat.select(
         "rec_id", "date", F.col("ip_str").alias("ip"), "port", "transport", F.col("asn").cast("string").alias("asn"), "org", "isp", "product", F.col("version").cast("string").alias("version"),
-        joined(F.col("cpe23")).alias("cpe23"), F.col("_shodan.module").alias("service"), F.lit(None).cast("string").alias("info"), "city", F.col("location.region_code").alias("region_code"),
+        joined(F.col("cpe23")).alias("cpe23"), F.col("_shodan.module").alias("service"), info, "city", F.col("location.region_code").alias("region_code"),
         joined(F.col("hostnames")).alias("hostnames"), joined(F.col("domains")).alias("domains"), joined(F.col("tags")).alias("tags"),
         F.col("timestamp").try_cast("timestamp_ntz").alias("banner_ts"), F.coalesce(F.col("hash").cast("string"), F.lit("None")).alias("hash"), "tier",
     )

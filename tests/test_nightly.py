@@ -6,7 +6,7 @@ from harborlens.plans import nightly, report
 from harborlens.sources import store
 
 BANNERS = [
-    {"ip_str": "10.0.0.1", "port": 502, "org": "Zeta Bakery", "hash": 1, "timestamp": "2025-01-01T00:00:00", "vulns": {"CVE-1": {"cvss": 9}}, "location": {"country_code": "US", "region_code": "LA"}},
+    {"ip_str": "10.0.0.1", "port": 502, "org": "Zeta Bakery", "hash": 1, "info": "i", "timestamp": "2025-01-01T00:00:00", "vulns": {"CVE-1": {"cvss": 9}}, "location": {"country_code": "US", "region_code": "LA"}},
     {"ip_str": "10.0.0.2", "port": 80, "org": "Big Land Office", "location": {"country_code": "US", "region_code": "TX"}},
     {"ip_str": "10.0.0.3", "port": 80, "location": {"country_code": "US", "region_code": "TX"}},
     {"ip_str": "10.9.0.3", "port": 80, "location": None, "vulns": None},
@@ -29,6 +29,7 @@ def test_ingest(spark, tmp_path):
         assert nightly.ingest(spark, settings, "2025-01-01") == {"observations": 3, "vulns": 1}
     o = store.read(spark, f"{settings.store}/observations", "ip string")
     assert {(r.ip, r.tier, r.hash) for r in o.collect()} == {("10.0.0.1", "critical_infrastructure", "1"), ("10.0.0.2", "small_business", "None"), ("10.9.0.3", "unclassified", "None")}
+    assert {r.info for r in o.collect()} == {"i", None}
     v = store.read(spark, f"{settings.store}/vulns", "ip string").head()
     assert (v.cve, v.cvss, v.in_kev, v.epss) == ("CVE-1", 9.0, True, None)
     write(tmp_path / "archive" / "x-events-2025-01-01.json.gz", BANNERS[2:3])
