@@ -90,8 +90,8 @@ def roots(points: DataFrame) -> DataFrame:
     own = points.select("block", "core", "support", "weight")
     theirs = pivots.select("block", F.col("core").alias("other"), F.col("support").alias("o_support"), F.col("weight").alias("o_weight"), F.col("core").alias("o_core"))
     near = close.join(own, ["block", "core"]).join(theirs, ["block", "other"])
-    # a pivot gives way only to a greater one right beside it
-    near = near.where((F.col("support") == 1) | ((F.col("d") == 1) & (rank("o_") > rank(""))))
+    # a pivot gives way to greater ones only, anywhere within the radius: a transposition is two edits
+    near = near.where((F.col("support") == 1) | (rank("o_") > rank("")))
     first = near.groupBy("block", "core").agg(F.min(F.struct("d", (-F.col("o_support")).alias("s"), (-F.col("o_weight")).alias("w"), F.col("other").alias("parent")))["parent"].alias("parent"))
     first = cut(first)
     orphans = points.where("support = 1").join(first, ["block", "core"], "left_anti")

@@ -77,6 +77,16 @@ def test_radius_join_against_brute_force(spark):
     assert got == expected
 
 
+def linked_pairs(spark, spelt):
+    df = spark.createDataFrame([(n, None) for n in spelt], "org string, isp string")
+    return {tuple(r) for r in names.pairs(names.link(df, ["org", "isp"])).collect()}
+
+
+def test_mistyped_core_that_two_spellings_share(spark):
+    body = ["Nandwalzasrast Foods LLC", "NANDWALZASRAST FOODS", "Nandwalzasrast Foods, L.L.C.", "Nadnwalzasrast Foods LLC", "NADNWALZASRAST FOODS, L.L.C."]
+    assert linked_pairs(spark, body) == {tuple(sorted(p)) for p in combinations(body, 2)}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "org string, isp string")
     assert names.pairs(names.link(df, ["org", "isp"])).isEmpty()
