@@ -1,18 +1,17 @@
-"""Spellings of bodies' names that belong together, by exact radius joins around pivots in an edit metric.
+"""Spellings of bodies' names that belong together, by exact radius joins in an edit metric.
 
 Each distinct name is read into purpose, number, given name and the distinctive rest, the core; names of different
-purpose, number or given name never meet. Within such a block, cores that several spellings share are the pivots. Every
-other core is assigned to the nearest pivot within the radius, and replicated to all pivots it might belong to: as the
-metric is a true one (Levenshtein), two spellings of a body lie within twice the radius of each other and each within one of
-the pivot, so nothing beyond the radius need be looked at. Cores that no pivot reaches are joined among themselves.
+purpose, number or given name never meet. Within such a block every core is joined with all others within the radius
+(Levenshtein), and the components of these links, followed to the fixpoint, are the bodies. No core stands for others: a core
+that several spellings share and one that is met once are joined alike.
 
-Which pivots lie within the radius is found without comparing all pairs: a core cut in radius + 1 segments must share one
+Which cores lie within the radius is found without comparing all pairs: a core cut in radius + 1 segments must share one
 of them, shifted by at most what the radius allows, with every core in reach (both sides are unique by core, so no join key
 holds more than a share of the distinct names). The candidates are then checked with the exact distance.
 
 Defined cases
     * null and blank names, and names without a letter or digit, are no names and have no row.
-    * equal strings of both columns are one spelling; how often a spelling occurs only settles ties.
+    * equal strings of both columns are one spelling, however often it occurs.
     * a practice's name without its purpose joins the one body of that person, if there is exactly one.
     * a name with only the initial of its given name joins the nearest fitting person of that purpose, if only one is nearest;
       without one, such names of one purpose and initial join each other within the radius.
@@ -23,12 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlens.session import cut
+from harborlens.session import cut, scratch_path
 
-#: Most edits between a spelling's core and its pivot; half of it for cores of under SHORT characters.
+#: Most edits between two cores that are linked; half of it for cores of under SHORT characters.
 RADIUS, SHORT = 2, 6
-#: Rounds in which the cores that no pivot reaches pass on their greatest link; typing errors make no longer chains.
-SPREAD = 4
 #: Tasks that distinct names are read in; reading is the costly part, so it isn't left to the size in bytes.
 READERS = 96
 
@@ -82,30 +79,38 @@ def radius_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return pairs.withColumn("d", F.levenshtein("core", "other", RADIUS)).where((F.col("d") >= 0) & (F.col("d") <= reach))
 
 
+def components(links: DataFrame) -> DataFrame:
+    """block, core, root: each linked core and the least core that any chain of links leads to. links: block, core, other, both ways.
+
+    The rounds go on until none changes a label. Each is written as a table: a checkpoint keeps the constraints of the plan it
+    cuts, and they would double with every round.
+    """
+    spark = links.sparkSession
+
+    def written(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "labels")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    labels = written(links.groupBy("block", "core").agg(F.least("core", F.min("other")).alias("root")))
+    while True:
+        theirs = labels.select("block", F.col("core").alias("other"), F.col("root").alias("near"))
+        seen = links.join(theirs, ["block", "other"]).groupBy("block", "core").agg(F.min("near").alias("near"))
+        known = labels.join(seen, ["block", "core"])
+        # a core and its root both learn what the core's neighbours have, and take the root of that in the same round
+        told = F.expr("inline(array(named_struct('core', core, 'was', root, 'low', least(root, near)), named_struct('core', root, 'was', null, 'low', near)))")
+        lower = known.select("block", told).groupBy("block", "core").agg(F.max("was").alias("was"), F.min("low").alias("root"))
+        jump = labels.select("block", F.col("core").alias("root"), F.col("root").alias("next"))
+        lower = written(lower.join(jump, ["block", "root"]).select("block", "core", "was", F.col("next").alias("root")))
+        labels = lower.select("block", "core", "root")
+        if lower.where("root <> was").isEmpty():
+            return labels
+
+
 def roots(points: DataFrame) -> DataFrame:
-    """block, core, root. points: block, core, support (spellings), weight (rows)."""
-    pivots = points.where("support > 1")
-    rank = lambda p: F.struct(*[F.col(f"{p}{c}") for c in ("support", "weight", "core")])
-    close = radius_join(points, pivots)
-    own = points.select("block", "core", "support", "weight")
-    theirs = pivots.select("block", F.col("core").alias("other"), F.col("support").alias("o_support"), F.col("weight").alias("o_weight"), F.col("core").alias("o_core"))
-    near = close.join(own, ["block", "core"]).join(theirs, ["block", "other"])
-    # a pivot gives way to greater ones only, anywhere within the radius: a transposition is two edits
-    near = near.where((F.col("support") == 1) | (rank("o_") > rank("")))
-    first = near.groupBy("block", "core").agg(F.min(F.struct("d", (-F.col("o_support")).alias("s"), (-F.col("o_weight")).alias("w"), F.col("other").alias("parent")))["parent"].alias("parent"))
-    first = cut(first)
-    orphans = points.where("support = 1").join(first, ["block", "core"], "left_anti")
-    links = cut(radius_join(orphans, orphans).select("block", "core", "other"))
-    best = orphans.select("block", "core", F.struct("weight", "core").alias("label"))
-    for _ in range(SPREAD):
-        theirs = best.select("block", F.col("core").alias("other"), "label")
-        best = links.join(theirs, ["block", "other"]).select("block", "core", "label").unionByName(best).groupBy("block", "core").agg(F.max("label").alias("label"))
-    second = best.where("label.core <> core").select("block", "core", F.col("label.core").alias("parent"))
-    up = cut(first.unionByName(second))
-    step = up.select("block", F.col("core").alias("parent"), F.col("parent").alias("higher"))
-    for _ in range(3):  # parents rise in rank; chains longer than this lie far outside the radius
-        up = up.join(step, ["block", "parent"], "left").select("block", "core", F.coalesce("higher", "parent").alias("parent"))
-    return own.join(up, ["block", "core"], "left").select("block", "core", F.coalesce("parent", "core").alias("root"))
+    """block, core, root: the same root for all cores that chains of links within the radius join. points: block, core, unique."""
+    links = cut(radius_join(points, points).select("block", "core", "other"))
+    return points.join(components(links), ["block", "core"], "left").select("block", "core", F.coalesce("root", "core").alias("root"))
 
 
 def _block() -> Column:
@@ -117,7 +122,7 @@ def bodies(parsed: DataFrame) -> DataFrame:
     """name, body: equal for the spellings of one body. parsed: what read_parts gives."""
     named = parsed.where("core <> ''").withColumn("block", _block())
     full = named.where("kind <> 'person' or given <> ''")
-    points = cut(full.groupBy("block", "core").agg(F.count(F.lit(1)).alias("support"), F.sum("n").alias("weight")))
+    points = cut(full.select("block", "core").distinct())
     rooted = cut(full.join(roots(points), ["block", "core"]))
     body = lambda *c: F.concat_ws("|", *c)
     whole = rooted.where("kind <> 'person' or purpose <> ''").withColumn("body", body("block", "root", "purpose"))

@@ -87,6 +87,21 @@ def test_mistyped_core_that_two_spellings_share(spark):
     assert linked_pairs(spark, body) == {tuple(sorted(p)) for p in combinations(body, 2)}
 
 
+def test_chain_beside_a_member(spark):
+    # the last core is one edit from the second and three from the first, which three spellings share
+    body = ["Nandwalzasrast Foods LLC", "NANDWALZASRAST FOODS", "Nandwalzasrast Foods, L.L.C.", "Nadnwalzasrast Foods LLC", "Nadnwalzaasrast Foods LLC"]
+    assert linked_pairs(spark, body) == {tuple(sorted(p)) for p in combinations(body, 2)}
+
+
+def test_components_of_long_chains(spark):
+    rng = random.Random(3)
+    order = [f"c{i:03}" for i in rng.sample(range(200), 60)]
+    links = [("x", a, b) for a, b in zip(order[:40], order[1:40], strict=False)] + [("x", a, b) for a, b in zip(order[40:], order[41:], strict=False)] + [("y", order[0], order[59])]
+    df = spark.createDataFrame(links + [(k, b, a) for k, a, b in links], "block string, core string, other string")
+    got = {(r.block, r.core): r.root for r in names.components(df).collect()}
+    assert got == {("x", c): min(part) for part in (order[:40], order[40:]) for c in part} | {("y", c): min(order[0], order[59]) for c in (order[0], order[59])}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "org string, isp string")
     assert names.pairs(names.link(df, ["org", "isp"])).isEmpty()
