@@ -1,4 +1,7 @@
-"""The tripwire as a stream: each batch of files is a run that rolls the ledger.
+"""The tripwire as a stream: each batch of files rolls the ledger.
+
+Files may hold any days, so a batch is no run: the ledger keeps the day of each last banner time, and what the latest day decides
+is read from the ledger after the last batch. The result doesn't follow the cut into batches.
 
 The ledger is a table in the shared folder, one version per batch; a batch that is run again after a loss writes its own
 version again from the one before, so its result doesn't change.
@@ -14,26 +17,21 @@ from harborlens.session import scratch_path
 
 
 def roll_days(ledger: DataFrame, hits: DataFrame) -> DataFrame:
-    """The ledger after all days of the hits, in their order, as one aggregation: the same as rolling day by day."""
-    last = hits.agg(F.max("date").alias("run")).head().run
-    if last is None:
-        return ledger
+    """The ledger after all days of the hits, whatever days it holds already, as one aggregation."""
     days = hits.groupBy("ip").agg(
         F.min("date").alias("d_first"),
         F.max("date").alias("d_last"),
         F.array_distinct(F.flatten(F.collect_set("selectors"))).alias("d_selectors"),
-        F.max(F.when(F.col("banner_ts").isNotNull(), F.struct("date", "banner_ts")))["banner_ts"].alias("d_ts"),
+        F.max(F.when(F.col("banner_ts").isNotNull(), F.struct("date", "banner_ts"))).alias("d_banner"),
     )
     none = F.array().cast("array<string>")
-    both = ledger.join(days, "ip", "full")
-    return both.select(
+    return ledger.join(days, "ip", "full").select(
         "ip",
         F.least("first_seen", "d_first").alias("first_seen"),
         F.greatest("last_seen", "d_last").alias("last_seen"),
         F.array_sort(F.array_union(F.coalesce("selectors", none), F.coalesce("d_selectors", none))).alias("selectors"),
-        F.coalesce("d_ts", "last_banner_ts").alias("last_banner_ts"),
-        (F.coalesce("d_last", F.lit(None).cast("date")) == F.lit(last)).alias("active"),
-    ).withColumn("active", F.coalesce("active", F.lit(False)))
+        F.greatest("last_banner", "d_banner").alias("last_banner"),
+    )
 
 
 def stream_ledger(spark: SparkSession, path: str, tags: list[str], files_a_batch: int = 1000) -> DataFrame:
@@ -45,7 +43,7 @@ def stream_ledger(spark: SparkSession, path: str, tags: list[str], files_a_batch
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     single = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jpath).isFile()
     rows = source.option("pathGlobFilter", name).parquet(folder) if single else source.parquet(path)
-    state = "ip string, first_seen date, last_seen date, selectors array<string>, last_banner_ts timestamp_ntz, active boolean"
+    state = "ip string, first_seen date, last_seen date, selectors array<string>, last_banner struct<date: date, banner_ts: timestamp_ntz>"
 
     def run(batch: DataFrame, n: int) -> None:
         ledger = spark.read.parquet(f"{root}/v{n - 1}") if n else spark.createDataFrame([], state)
@@ -56,4 +54,7 @@ def stream_ledger(spark: SparkSession, path: str, tags: list[str], files_a_batch
     stream = rows.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
     stream.awaitTermination()
     out = spark.read.parquet(f"{root}/v{done[-1]}") if done else spark.createDataFrame([], state)
-    return out.withColumn("selectors", F.concat_ws("|", "selectors"))
+    last = out.agg(F.max("last_seen").alias("run"))
+    return out.join(F.broadcast(last)).select(
+        "ip", "first_seen", "last_seen", F.concat_ws("|", "selectors").alias("selectors"), F.col("last_banner.banner_ts").alias("last_banner_ts"), (F.col("last_seen") == F.col("run")).alias("active")
+    )

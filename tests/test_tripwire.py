@@ -1,5 +1,7 @@
+import time
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from harborlens.operators import tripwire
@@ -55,3 +57,19 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = stream_ledger(spark, f"{tmp_path}/in", ["bad", "worse"], files_a_batch=2)
     got = {r.ip: (r.first_seen, r.last_seen, r.selectors) for r in stream.collect()}
     assert got == {"A": (d(1), d(2), "tag:bad|tag:worse"), "B": (d(1), d(5), "tag:bad|tag:worse"), "C": (d(4), d(4), "tag:bad")}
+
+
+@pytest.mark.parametrize("batch", [1, 2, 1000])
+def test_stream_whatever_the_batches(spark, tmp_path, batch):
+    # days in mixed order over the files: the last day comes first, and A's latest banner before an older one
+    everything = [r for rows in DAYS.values() for r in rows]
+    for part in (DAYS[5] + DAYS[2], DAYS[4], DAYS[1] + DAYS[3]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.05)
+    whole = tripwire.flagged(spark.createDataFrame(everything, SCHEMA), ["bad", "worse"], ["date"]).collect()
+    last = max(r.date for r in whole)
+    expected = {}
+    for r in sorted(whole, key=lambda r: r.date):
+        expected[r.ip] = (r.banner_ts or expected.get(r.ip, (None,))[0], r.date == last)
+    stream = stream_ledger(spark, f"{tmp_path}/in", ["bad", "worse"], files_a_batch=batch)
+    assert {r.ip: (r.last_banner_ts, r.active) for r in stream.collect()} == expected
