@@ -14,7 +14,8 @@ Defined cases
     * equal strings of both columns are one spelling, however often it occurs.
     * a practice's name without its purpose joins the one body of that person, if there is exactly one.
     * a name with only the initial of its given name joins the nearest fitting person of that purpose, if only one is nearest;
-      without one, such names of one purpose and initial join each other within the radius.
+      without one in reach, such names of one purpose and initial that chains within the radius join belong together, and go with
+      the nearest such name that found its person, if only one person is nearest. Names between two persons go with neither.
 """
 
 from __future__ import annotations
@@ -118,6 +119,13 @@ def _block() -> Column:
     return F.when(F.col("kind") == "person", person).otherwise(F.concat_ws("|", "kind", "purpose", "number"))
 
 
+def _nearest(reached: DataFrame, of: str) -> DataFrame:
+    """block, of, found, n_found: the nearest body and how many are as near. reached: block, of, body, d."""
+    least = reached.groupBy("block", of, "body").agg(F.min("d").alias("d"))
+    nearest = least.withColumn("best", F.min("d").over(Window.partitionBy("block", of))).where("d = best")
+    return nearest.groupBy("block", of).agg(F.min("body").alias("found"), F.count(F.lit(1)).alias("n_found"))
+
+
 def bodies(parsed: DataFrame) -> DataFrame:
     """name, body: equal for the spellings of one body. parsed: what read_parts gives."""
     named = parsed.where("core <> ''").withColumn("block", _block())
@@ -138,14 +146,18 @@ def bodies(parsed: DataFrame) -> DataFrame:
     same = short.select("block", "core").distinct().join(known.select("block", "core"), ["block", "core"], "left_semi").select("block", "core", F.col("core").alias("other"), F.lit(0).alias("d"))
     close = radius_join(short.select("block", "core").distinct(), known.select("block", "core").distinct()).unionByName(same)
     reached = close.join(known.select("block", F.col("core").alias("other"), "body"), ["block", "other"])
-    least = reached.groupBy("block", "core", "body").agg(F.min("d").alias("d"))
-    nearest = least.withColumn("best", F.min("d").over(Window.partitionBy("block", "core"))).where("d = best")
-    nearest = nearest.groupBy("block", "core").agg(F.min("body").alias("found"), F.count(F.lit(1)).alias("n_found")).where("n_found = 1")
-    # those without such a person keep together among themselves, by the least core in reach
-    left = short.select("block", "core").distinct().join(nearest, ["block", "core"], "left_anti")
-    among = radius_join(left, left).groupBy("block", "core").agg(F.min("other").alias("least"))
-    initials = short.join(nearest, ["block", "core"], "left").join(among, ["block", "core"], "left")
-    initials = initials.withColumn("body", F.coalesce("found", body("block", F.least("core", "least"))))
+    asked = short.select("block", "core").distinct().join(_nearest(reached, "core"), ["block", "core"], "left")
+    asked = cut(asked.select("block", "core", F.when(F.col("n_found") == 1, F.col("found")).alias("found"), (F.coalesce("n_found", F.lit(0)) > 1).alias("torn")))
+    # those without such a person keep together by their components, and go with the nearest name in reach that found one
+    left, sure = asked.where("found is null"), asked.where("found is not null").select("block", F.col("core").alias("other"), F.col("found").alias("body"))
+    links = cut(radius_join(left, asked))
+    among = components(links.join(sure, ["block", "other"], "left_anti").select("block", "core", "other"))
+    left = cut(left.join(among, ["block", "core"], "left").select("block", "core", "torn", F.coalesce("root", "core").alias("root")))
+    torn = left.where("torn").select("block", "root").distinct()
+    passed = _nearest(links.join(sure, ["block", "other"]).join(left, ["block", "core"]), "root").where("n_found = 1").join(torn, ["block", "root"], "left_anti")
+    kept = left.join(passed, ["block", "root"], "left").select("block", "core", F.coalesce("found", body("block", "root")).alias("body"))
+    settled = sure.withColumnRenamed("other", "core").unionByName(kept)
+    initials = short.join(settled, ["block", "core"])
     return whole.select("name", "body").unionByName(bare.select("name", "body")).unionByName(initials.select("name", "body"))
 
 

@@ -102,6 +102,15 @@ def test_components_of_long_chains(spark):
     assert got == {("x", c): min(part) for part in (order[:40], order[40:]) for c in part} | {("y", c): min(order[0], order[59]) for c in (order[0], order[59])}
 
 
+def test_initials_by_components_and_through_names_that_found_a_person(spark):
+    # the outer two of three are two edits from the middle one and four from each other
+    alone = ["Q. Zabrindolvek Optometry", "Q. Zarbindolvek Optometry", "Q. Zarbindovlek Optometry"]
+    person = ["Margaret Hegsinpunhith Optometry", "M. Hegsipnunhith Optometry", "M. Hegsipnunhtih Optometry"]
+    torn = ["Alice Kirnmarnlosh Optometry", "Arthur Kirnmarnlosh Optometry", "A. Kirnmarnlosh Optometry"]
+    expected = {tuple(sorted(p)) for body in (alone, person) for p in combinations(body, 2)}
+    assert linked_pairs(spark, alone + person + torn) == expected
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "org string, isp string")
     assert names.pairs(names.link(df, ["org", "isp"])).isEmpty()
