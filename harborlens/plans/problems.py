@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlens.operators import drift, history, nested, once, skew, spans
+from harborlens.session import written
 from harborlens.sources.tables import table
 
 SERVICE = ["ip", "port"]
@@ -37,14 +38,24 @@ def _day_states(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "observations").select("obs_id", "ip", "port", "date", "product", "version", "banner_ts", "hash")
     stated = rows.where("port is not null and trim(product) <> '' and trim(version) <> ''").drop("hash")
     attributes = {a: F.lower(F.trim(a)) for a in ("product", "version")}
-    return history.day_states(stated.join(once.copies(rows), "obs_id", "left_anti"), SERVICE, "date", ["banner_ts", "obs_id"], attributes)
+    again = written(once.copies(rows), "copies")  # joined by the size it has
+    return history.day_states(stated.join(again, "obs_id", "left_anti"), SERVICE, "date", ["banner_ts", "obs_id"], attributes)
 
 
-def p5_history(spark: SparkSession, folder: str) -> DataFrame:
-    out = history.versions(_day_states(spark, folder), SERVICE, "date", ["product", "version"])
+def _history(spark: SparkSession, folder: str, complete: bool) -> DataFrame:
+    out = history.versions(_day_states(spark, folder), SERVICE, "date", ["product", "version"], complete)
     return out.select("ip", F.col("port").cast("bigint").alias("port"), "product", "version", F.col("valid_from").cast("string").alias("valid_from"), F.col("valid_to").cast("string").alias("valid_to"))
 
 
+def p5_history(spark: SparkSession, folder: str) -> DataFrame:
+    return _history(spark, folder, False)
+
+
+def p5_complete(spark: SparkSession, folder: str) -> DataFrame:
+    """The history if every day's rows were all there is: a service without a row on a collection day is gone."""
+    return _history(spark, folder, True)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return p5_history(spark, folder).select("ip", "port", "valid_from", "valid_to")
 
@@ -67,18 +78,29 @@ def p7_profile(spark: SparkSession, folder: str) -> DataFrame:
     return skew.profile(table(spark, folder, "observations"), ["org", "asn"], "port", "ip")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_references, p3_ranges, p4_found, p5_found, p5_history, p6_found, p6_table, p7_found, p7_profile)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_references, p3_ranges, p4_found, p5_found, p5_history, p5_complete, p6_found, p6_table, p7_found, p7_profile)}
 
 _MESSAGES = """m as (select obs_id, ip,
     case when hash is null or trim(hash) = 'None' then port end as p,
-    case when hash is null or trim(hash) = 'None' then null else coalesce(cast(cast(try_cast(trim(hash) as decimal(38,4)) as hugeint) as varchar), trim(hash)) end as h,
+    case when hash is null or trim(hash) = 'None' then null else coalesce(case when regexp_full_match(trim(hash), '[+-]?[0-9]+([.]0*)?') then cast(try_cast(split_part(trim(hash), '.', 1) as hugeint) as varchar) end, trim(hash)) end as h,
     date_trunc('second', banner_ts) as t from observations where banner_ts is not null),
 copies as (select obs_id from (select obs_id, row_number() over (partition by ip, p, h, t order by obs_id) as r from m) where r > 1)"""
 
-_HISTORY = f"""with {_MESSAGES},
+_STATES = f"""with {_MESSAGES},
 s as (select ip, port, date, lower(trim(product)) as product, lower(trim(version)) as version from (
     select *, row_number() over (partition by ip, port, date order by banner_ts desc nulls last, obs_id desc) as r from observations
-    where obs_id not in (select obs_id from copies) and port is not null and trim(product) <> '' and trim(version) <> '') where r = 1),
+    where obs_id not in (select obs_id from copies) and port is not null and trim(product) <> '' and trim(version) <> '') where r = 1)"""
+
+_COMPLETE = f"""{_STATES},
+days as (select date, row_number() over (order by date) as n from (select distinct date from s)),
+l as (select s.*, n, lag(product) over w as op, lag(version) over w as ov, lag(n) over w as before, lead(n) over w as after from s join days using (date) window w as (partition by ip, port order by date)),
+e as (select *, before is null or before < n - 1 or op <> product or ov <> version as starts from l),
+b as (select ip, port, date, product, version, starts from e union all
+    select e.ip, e.port, d.date, null, null, false from e join days d on d.n = e.n + 1 where e.after is null or e.after > e.n + 1)
+select ip, cast(port as bigint) as port, product, version, cast(date as varchar) as valid_from, coalesce(cast(until - 1 as varchar), '9999-12-31') as valid_to
+from (select *, lead(date) over (partition by ip, port order by date) as until from b where starts or product is null) where starts"""
+
+_HISTORY = f"""{_STATES},
 l as (select *, lag(product) over w as op, lag(version) over w as ov from s window w as (partition by ip, port order by date)),
 e as (select * from l where op is null or op <> product or ov <> version)
 select ip, cast(port as bigint) as port, {{columns}} cast(date as varchar) as valid_from,
@@ -117,6 +139,7 @@ select ip, cast(port as bigint) as port, 'period' as kind, cast(f as varchar) as
 union all select ip, cast(port as bigint), 'gap', cast(before + 1 as varchar), cast(f - 1 as varchar) from b where before is not null""",
     "p5_found": _HISTORY.format(columns=""),
     "p5_history": _HISTORY.format(columns="product, version,"),
+    "p5_complete": _COMPLETE,
     "p7_found": f"""with k as (select 'org' as field, org as key_value from observations union all select 'asn', asn from observations)
 select field, key_value from k where trim(key_value) <> '' group by field, key_value having count(*) >= {HOT_SHARE} * (select count(*) from observations)""",
     "p7_profile": """with k as (select 'org' as field, org as key_value, port, ip from observations union all select 'asn', asn, port, ip from observations),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,8 @@ def build_session(master: str = "local[*]", app: str = "harborlens", **conf: str
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "32m",  # bodies of many megabytes occur
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | {k.replace("__", "."): v for k, v in conf.items()}
@@ -41,11 +45,34 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_made: list[tuple[object, object]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. Results may still read from it, so it goes when the application ends, or by ``clear_scratch``."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _made.append((p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p))
+    return path
+
+
+@atexit.register
+def clear_scratch() -> None:
+    """Removes what scratch_path gave out. Frames that read from there can't be used any more."""
+    while _made:
+        fs, path = _made.pop()
+        with suppress(Exception):  # the JVM may be gone
+            fs.delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df with checkpoint() in the shared folder, so that later stages survive the loss of executors."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: like ``cut``, but what follows is planned by the size it has."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
