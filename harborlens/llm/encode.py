@@ -5,6 +5,11 @@ through a recursive query: token-position rows join the merge table, each word's
 leftmost places, and words drop out once no pair is in the table (the fixpoint). Decoding joins ids with the vocabulary
 and puts the bytes together by an ordered aggregation.
 
+A word of more than LONG bytes (a base64 body, a text without blanks) is contracted in parts, whose seams are then mended. A
+sequence of tokens is the encoding of its bytes exactly if each two neighbours are the encoding of theirs; so a seam
+whose neighbours pass that test stands, and around any other the tokens are contracted anew, in windows that double
+until all seams stand.
+
 Defined cases
     * null and empty texts have an empty list of ids; strings that look like special tokens are plain text.
     * whole texts are encoded, whatever their length; repeated texts give the same ids.
@@ -26,6 +31,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Words of one query, by count and by bytes, and words a worker remembers; bounds of memory that change no result.
 CHUNK_WORDS, CHUNK_BYTES, REMEMBERED = 20_000, 1 << 20, 400_000
+#: Bytes from which on a word is cut, bytes of a part, and tokens on each side of a seam that are contracted anew first.
+LONG, PART, WINDOW = 256, 32, 4
 
 CONTRACT = """
 with recursive bpe(w, toks) using key (w) as (
@@ -84,6 +91,7 @@ class Encoder:
         self.vocabulary = vocabulary
         self.split = regex.compile(PATTERN).findall
         self.known: dict[str, list[int]] = {}
+        self.seams: dict[tuple[int, int], bool] = {}
 
     @cached_property
     def byte_ids(self) -> list[int]:
@@ -105,31 +113,94 @@ class Encoder:
         db.execute("create table vocabulary as select * from token_rows")
         return db
 
-    def learn(self, words: list[str]) -> None:
-        """Contracts new words, in chunks of bounded size."""
+    @cached_property
+    def token_bytes(self) -> dict[int, bytes]:
+        return dict(self.vocabulary.tokens)
+
+    def contract(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word, by the recursive query, in chunks of bounded size (a word above it stands alone)."""
         import pyarrow as pa
 
-        start = 0
+        out, start = [], 0
         while start < len(words):
             end, size = start, 0
-            while end < len(words) and end - start < CHUNK_WORDS and (size < CHUNK_BYTES or end == start):
-                size += len(words[end].encode("utf-8", "surrogatepass"))
+            while end < len(words) and end - start < CHUNK_WORDS and (size + len(words[end]) <= CHUNK_BYTES or end == start):
+                size += len(words[end])
                 end += 1
-            part = words[start:end]
-            tokens = [[self.byte_ids[b] for b in w.encode("utf-8", "surrogatepass")] for w in part]
-            self.db.register("fresh", pa.table({"w": pa.array(range(len(part)), pa.int32()), "toks": pa.array(tokens, pa.list_(pa.int32()))}))
-            for w, ids in self.db.execute(CONTRACT).fetchall():
-                self.known[part[w]] = ids
+            tokens = [[self.byte_ids[b] for b in w] for w in words[start:end]]
+            self.db.register("fresh", pa.table({"w": pa.array(range(len(tokens)), pa.int32()), "toks": pa.array(tokens, pa.list_(pa.int32()))}))
+            out += [ids for _, ids in self.db.execute(CONTRACT).fetchall()]
             start = end
+        return out
+
+    def _stand(self, pairs: set[tuple[int, int]]) -> None:
+        """Learns which pairs of neighbours are the encoding of their bytes."""
+        if len(self.seams) > REMEMBERED:
+            self.seams.clear()
+        new = [p for p in pairs if p not in self.seams]
+        for pair, ids in zip(new, self.contract([self.token_bytes[a] + self.token_bytes[b] for a, b in new]), strict=True):
+            self.seams[pair] = ids == list(pair)
+
+    def long(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of words of any length; all words' parts, seams and windows of a round go through one query each."""
+        parts = [[w[i : i + PART] for i in range(0, len(w), PART)] for w in words]
+        distinct = list(dict.fromkeys(p for of in parts for p in of))
+        ids_of = dict(zip(distinct, self.contract(distinct), strict=True))
+        ids, seams = [], []
+        for of in parts:
+            tokens, places = [], []
+            for part in of:
+                places.append(len(tokens))
+                tokens += ids_of[part]
+            ids.append(tokens)
+            seams.append(places[1:])
+        width, open_ = WINDOW, range(len(words))
+        while open_:
+            self._stand({(ids[w][s - 1], ids[w][s]) for w in open_ for s in seams[w]})
+            windows: list[tuple[int, int, int]] = []
+            for w in open_:
+                for s in seams[w]:
+                    if self.seams[ids[w][s - 1], ids[w][s]]:
+                        continue
+                    low, high = max(0, s - width), min(len(ids[w]), s + width)
+                    if windows and windows[-1][0] == w and low <= windows[-1][2]:
+                        low = windows.pop()[1]
+                    windows.append((w, low, high))
+            anew = self.contract([b"".join(self.token_bytes[i] for i in ids[w][low:high]) for w, low, high in windows])
+            mended: dict[int, list] = {}
+            for window, tokens in zip(windows, anew, strict=True):
+                mended.setdefault(window[0], []).append((*window[1:], tokens))
+            for w, changes in mended.items():
+                out: list[int] = []
+                places, at = [], 0
+                for low, high, tokens in changes:
+                    out += ids[w][at:low]
+                    places += [len(out), len(out) + len(tokens)]
+                    out += tokens
+                    at = high
+                ids[w] = out + ids[w][at:]
+                seams[w] = [s for s in dict.fromkeys(places) if 0 < s < len(ids[w])]
+            width, open_ = width * 2, list(mended)
+        return ids
+
+    def learn(self, words: list[str]) -> None:
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        for some, ids in ((lambda n: n <= LONG, self.contract), (lambda n: n > LONG, self.long)):
+            own = [(w, b) for w, b in zip(words, raw, strict=True) if some(len(b))]
+            self.known.update(zip([w for w, _ in own], ids([b for _, b in own]), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         split = [self.split(t) if t else [] for t in texts]
         known = self.known
-        if new := list(dict.fromkeys(w for words in split for w in words if w not in known)):
-            self.learn(new)
-        return [[i for w in words for i in known[w]] for words in split]
+        new = list(dict.fromkeys(w for words in split for w in words if w not in known))
+        self.learn(new)
+        out = [[i for w in words for i in known[w]] for words in split]
+        for w in new:
+            if len(w) > LONG:  # hardly met again, and large
+                del known[w]
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         import pyarrow as pa
@@ -139,8 +210,6 @@ class Encoder:
         return [bytes.fromhex(found.get(i, "")).decode("utf-8", "replace") for i in range(len(ids))]
 
 
-#: Rows of a batch given to one query.
-ROWS = 2_000
 #: The encoder of this worker process: tasks that follow each other share its tables and remembered words.
 _here: dict[str, Encoder] = {}
 
@@ -152,16 +221,17 @@ def worker_encoder(vocabulary: Vocabulary) -> Encoder:
     return _here[vocabulary.name]
 
 
-def _mapped(rows: DataFrame, columns: list[str], schema: str, work, vocabulary: Vocabulary) -> DataFrame:
+def _mapped(rows: DataFrame, columns: list[str], schema: str, work, vocabulary: Vocabulary, texts: bool = True) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # of fixed size
 
     def run(batches):
+        from harborlens.llm.batches import slices
         from harborlens.llm.encode import worker_encoder
 
         encoder = worker_encoder(shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                yield work(encoder, batch.slice(start, ROWS))
+            for part in slices(batch, 1) if texts else [batch]:
+                yield work(encoder, part)
 
     return rows.select(*columns).mapInArrow(run, schema)
 
@@ -196,4 +266,4 @@ def decode(encoded: DataFrame, key: str = "doc_id", vocabulary: Vocabulary | Non
 
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoder.decode(batch.column(1).to_pylist()))], names=[key, "text"])
 
-    return _mapped(encoded, [key, "ids"], f"{key} bigint, text string", work, vocabulary or Vocabulary.load())
+    return _mapped(encoded, [key, "ids"], f"{key} bigint, text string", work, vocabulary or Vocabulary.load(), texts=False)
