@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from harborlens.session import cut
 
-#: Shares that equal lengths are numbered in.
-SALTS = 64
+#: Items of equal length that are numbered in one task; a length has as many shares as that needs.
+ITEMS_A_SHARE = 1_000_000
 #: Documents of a pattern at most, patterns kept for each longest length, and steps of the least-squares fit.
 PATTERN_DOCS, PATTERNS_A_LENGTH, FIT_STEPS = 12, 8, 400
 
@@ -153,9 +153,11 @@ def pieces(sizes: DataFrame, capacity: int, key: str, size: str) -> DataFrame:
     return cutted.select(key, "piece", start.alias("start_token"), F.least(F.lit(capacity), F.col("n") - start).cast("bigint").alias("n_tokens"))
 
 
-def ranked(items: DataFrame, key: str) -> DataFrame:
+def ranked(items: DataFrame, key: str, histogram: dict[int, int]) -> DataFrame:
     """rank of each piece among those of its length, from 0: the rank within its share plus the shares before."""
-    salted = items.withColumn("salt", F.pmod(F.xxhash64(key, "piece"), F.lit(SALTS)))
+    per_length = items.sparkSession.createDataFrame([(length, n // ITEMS_A_SHARE + 1) for length, n in histogram.items()], "n_tokens bigint, shares bigint")
+    salted = items.join(F.broadcast(per_length), "n_tokens")  # a row a length, so at most as many as the capacity
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64(key, "piece"), F.col("shares"))).drop("shares")
     shares = salted.groupBy("n_tokens", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("n_tokens").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = shares.select("n_tokens", "salt", before.alias("base"))
@@ -168,7 +170,8 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
     all_pieces = cut(pieces(sizes, capacity, key, size))  # sizes are dear to make and read three times
     items = all_pieces.where("n_tokens > 0")
     counted = items.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()  # at most `capacity` rows
-    table = intervals(plan({r.n_tokens: r.n for r in counted}, capacity))
+    histogram = {r.n_tokens: r.n for r in counted}
+    table = intervals(plan(histogram, capacity))
     shared = sizes.sparkSession.sparkContext.broadcast(table)  # follows the number of lengths, not of items
     schema = f"{key} bigint, piece bigint, start_token bigint, n_tokens bigint, container_id bigint, offset bigint"
 
@@ -185,6 +188,6 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
             columns = [batch.column(batch.schema.get_field_index(c)) for c in (key, "piece", "start_token", "n_tokens")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(slot[:, 3] + nth), pa.array(slot[:, 4] + copy * length)], names=[key, "piece", "start_token", "n_tokens", "container_id", "offset"])
 
-    placed = ranked(items, key).select(key, "piece", "start_token", "n_tokens", F.col("rank").cast("bigint").alias("rank")).mapInArrow(place, schema)
+    placed = ranked(items, key, histogram).select(key, "piece", "start_token", "n_tokens", F.col("rank").cast("bigint").alias("rank")).mapInArrow(place, schema)
     none = F.lit(None).cast("bigint")
     return placed.unionByName(all_pieces.where("n_tokens <= 0").withColumns({"container_id": none, "offset": none}))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harborlens.llm import encode, names, packing, sentences
 from harborlens.session import cut
-from harborlens.sources.tables import spread, table
+from harborlens.sources.tables import table
 
 CAPACITY = 2048
 
@@ -24,7 +24,7 @@ def p1_bodies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", *columns))
+    return table(spark, folder, "documents").select("doc_id", *columns)
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,10 +41,25 @@ def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
     return placed.agg((F.max("container_id") + 1).alias("containers"), F.sum("n_tokens").alias("tokens"), F.round(F.sum("n_tokens") / (F.max("container_id") + 1) / CAPACITY, 6).alias("fill"))
 
 
+def p9_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: documents placed, those whose pieces don't add up to their tokens or are cut without need, and containers too full or with overlapping items."""
+    counts = cut(encode.token_counts(_documents(spark, folder, "text")))
+    placed = cut(packing.pack(counts, CAPACITY))
+    whole = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("packed"), F.count(F.lit(1)).alias("n_pieces"))
+    wrong = F.coalesce(F.col("packed"), F.lit(-1)) != F.col("n_tokens")
+    needless = F.col("n_pieces") > F.greatest(F.ceil(F.col("n_tokens") / CAPACITY), F.lit(1))
+    documents = counts.join(whole, "doc_id", "full").agg(F.count_if("packed is not null").alias("documents"), F.count_if(wrong).alias("wrong_sums"), F.count_if(needless).alias("needless_cuts"))
+    held = placed.where("container_id is not null").groupBy("container_id").agg(F.sum("n_tokens").alias("tokens"), F.max(F.col("offset") + F.col("n_tokens")).alias("upto"), F.count_distinct("offset").alias("places"), F.count(F.lit(1)).alias("items"))
+    containers = held.agg(F.count_if(F.col("tokens") > CAPACITY).alias("too_full"), F.count_if("tokens <> upto or places <> items").alias("overlapping"))
+    return documents.crossJoin(containers)  # one row each
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentences(_documents(spark, folder, "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_bodies, p8_ids, p9_pack, p9_fill, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_bodies, p8_ids, p9_pack, p9_fill, p9_invariants, p10_found)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "p9_invariants": "select count(*) as documents, 0::bigint as wrong_sums, 0::bigint as needless_cuts, 0::bigint as too_full, 0::bigint as overlapping from documents",
+}

@@ -1,7 +1,7 @@
 """Ordered break and no-break rules, as cascading tables.
 
 A rule is (breaks, before, after): ``before`` must match at the end of what precedes a candidate position (its end marks
-and closing marks included), ``after`` at the start of what follows. At each position the tables of the language are
+and closing marks included), ``after`` at the start of what follows; both see the whole piece. At each position the tables of the language are
 tried first, then the common ones; the first rule that matches decides, and a position no rule matches is no boundary.
 """
 
@@ -10,14 +10,14 @@ from __future__ import annotations
 #: What can end a sentence; ``;`` ends one in Greek only.
 ENDS = r"[.!?…‼⁇-⁉。！？．｡؟۔।॥]+"
 GREEK_ENDS = r"[.!?…;;]+"
-CLOSERS = r"(?:[)\]}\"'”’»›」』）】》]|(?<=„[^“„]{0,400})“|\s?»)*"
+CLOSERS = r"(?:[)\]}\"'”’»›」』）】》]|(?<=„[^“„]*)“|\s?»)*"
 CLOSE = r"[)\]}\"'“”’»›」』）】》]"
 
 _TITLE = r"(?<![\p{L}\p{N}])"
 
 
 def _words(*words: str) -> str:
-    return _TITLE + "(?:" + "|".join(w.replace(" ", r"\s+") for w in words) + ")$"
+    return _TITLE + "(?:" + "|".join(w.replace(" ", r"\s+") for w in words) + ")"
 
 
 #: Abbreviations that never end a sentence, as they are written with names or in front of more words.
@@ -52,41 +52,41 @@ _OPEN = r"[(\[{\"'“„‘«‹「『（【《¿¡–—*_#-]"
 #: By language, tried in order before the common table.
 BY_LANGUAGE = {
     "de": [
-        (True, r"(?:u\.\s?[ÄäAa]\.|usw\.|u\.\s?s\.\s?w\.|etc\.|s\.\s?o\.|s\.\s?u\.)$", r"\s+\p{Lu}"),
-        (False, r"(?:^|\s)\d{1,2}\.$", rf"\s+(?:{_MONTHS_DE})\b"),
-        (False, r"(?:\b[Ii]m|\b[Aa]m|\b[Dd]e[mnrs]|\b[Dd]ie|\b[Dd]as|\b[Vv]om|\b[Zz]um|\b[Zz]ur|\b[Bb]eim|\b[Jj]ede[mnrs]?)\s+\d{1,3}\.$", r"\s+\p{L}"),
+        (True, r"(?:u\.\s?[ÄäAa]\.|usw\.|u\.\s?s\.\s?w\.|etc\.|s\.\s?o\.|s\.\s?u\.)", r"\s+\p{Lu}"),
+        (False, r"(?:^|\s)\d{1,2}\.", rf"\s+(?:{_MONTHS_DE})\b"),
+        (False, r"(?:\b[Ii]m|\b[Aa]m|\b[Dd]e[mnrs]|\b[Dd]ie|\b[Dd]as|\b[Vv]om|\b[Zz]um|\b[Zz]ur|\b[Bb]eim|\b[Jj]ede[mnrs]?)\s+\d{1,3}\.", r"\s+\p{L}"),
     ],
-    "es": [(False, r"(?<!\p{L})(?:\p{Lu}{2}\.\s?)+$", r"\s*(?:\p{Lu}{2}\.|\p{Ll})"), (False, r"(?<!\p{L})[Nn]\.$", r"\s?[ºª°]")],
-    "ru": [(False, r"(?:^|\s)\p{Lu}\.$", r"\s*\p{Lu}"), (False, r"(?:и|и\s+т)\.$", r"\s*[дп]\.")],
-    "zh": [(False, rf"{CLOSE}$", r"\s*(?:之后|随后|然后|后|等|说|问|道|答|写|称|的|是|和|与|也|就|[（，、；：）——])")],
-    "ja": [(False, rf"{CLOSE}$", r"\s*(?:[ぁ-ゟ]|[（、：；）])")],
-    "hi": [(False, rf"{CLOSE}$", r"\s*(?:और|तथा|फिर|पर|ने|कहा|लिखा|बोले|[,;:(])")],
-    "ar": [(False, rf"{CLOSE}$", r"\s*(?:ثم|و|ف|قال|كتب|[،؛:(])")],
+    "es": [(False, r"(?<!\p{L})(?:\p{Lu}{2}\.\s?)+", r"\s*(?:\p{Lu}{2}\.|\p{Ll})"), (False, r"(?<!\p{L})[Nn]\.", r"\s?[ºª°]")],
+    "ru": [(False, r"(?:^|\s)\p{Lu}\.", r"\s*\p{Lu}"), (False, r"(?:и|и\s+т)\.", r"\s*[дп]\.")],
+    "zh": [(False, rf"{CLOSE}", r"\s*(?:之后|随后|然后|后|等|说|问|道|答|写|称|的|是|和|与|也|就|[（，、；：）——])")],
+    "ja": [(False, rf"{CLOSE}", r"\s*(?:[ぁ-ゟ]|[（、：；）])")],
+    "hi": [(False, rf"{CLOSE}", r"\s*(?:और|तथा|फिर|पर|ने|कहा|लिखा|बोले|[,;:(])")],
+    "ar": [(False, rf"{CLOSE}", r"\s*(?:ثم|و|ف|قال|كتب|[،؛:(])")],
 }
 
 #: Thai has no end marks: there, each blank is a candidate as well, and these rules decide it.
 THAI_BLANKS = [
-    (False, r"(?:ดร\.|ศ\.|รศ\.|ผศ\.|นาย|นาง|นางสาว|คุณ|ของ|ที่|โดย|กับ|และ|หรือ|ใน|จาก|เมือง|พอร์ต|รุ่น|[:;,(/–-])$", r""),
+    (False, r"(?:ดร\.|ศ\.|รศ\.|ผศ\.|นาย|นาง|นางสาว|คุณ|ของ|ที่|โดย|กับ|และ|หรือ|ใน|จาก|เมือง|พอร์ต|รุ่น|[:;,(/–-])", r""),
     (False, r"", r"\s*+[^ก-๛]"),
-    (False, r"\d[%)]?$", r""),
-    (False, r"(?:ดร\.|ศ\.|รศ\.|ผศ\.|นาย|นาง|คุณ)\s+(?:[\p{Latin}\p{M}'’.-]+\s+)*[\p{Latin}\p{M}'’.-]+$", r""),
+    (False, r"\d[%)]?", r""),
+    (False, r"(?:ดร\.|ศ\.|รศ\.|ผศ\.|นาย|นาง|คุณ)\s+(?:[\p{Latin}\p{M}'’.-]+\s+)*[\p{Latin}\p{M}'’.-]+", r""),
     (False, r"", r"\s*(?:ๆ|ฯ)"),
-    (True, r"[ก-๛\p{L}\p{N})”»]$", r"\s*+[ก-๛]"),
+    (True, r"[ก-๛\p{L}\p{N})”»]", r"\s*+[ก-๛]"),
 ]
 
 #: The common table.
 COMMON = [
-    (False, r"(?:\A|\n)\s*\p{N}+\.$", r""),  # a list mark
-    (True, r"[。！？｡؟۔।॥？！]" + CLOSE + "*$", r""),
-    (True, r"(?<=[\p{Lo}])…+" + CLOSE + "*$", r"\s*[\p{Lo}\p{Lu}\p{N}]"),
-    (True, r"[\p{Ll}\p{N})]{2}[.!?]$", r"\p{Lu}\p{Ll}"),  # the blank was left out
+    (False, r"(?:\A|\n)\s*\p{N}+\.", r""),  # a list mark
+    (True, r"[。！？｡؟۔।॥？！]" + CLOSE + "*", r""),
+    (True, r"(?<=[\p{Lo}])…+" + CLOSE + "*", r"\s*[\p{Lo}\p{Lu}\p{N}]"),
+    (True, r"[\p{Ll}\p{N})]{2}[.!?]", r"\p{Lu}\p{Ll}"),  # the blank was left out
     (False, r"", r"\S"),
     (False, r"", r"\s+[,;:)\]}»»…]"),
     (False, r"", r"\s+\p{Ll}"),
-    (False, r"(?<![\p{L}\p{N}])[ap]\.\s?m\.$", r"\s+(?:\p{N}|\p{Lu}{2})"),
-    (False, r"(?<![\p{L}\p{N}.])\p{Lu}\.$", r"\s+\p{Lu}"),
-    (True, r"[!?…;;]" + CLOSE + "*$", r"\s"),
-    (True, rf"\.{CLOSE}*$", rf"\s+{_OPEN}*[\p{{Lu}}\p{{Lt}}\p{{Lo}}\p{{N}}]"),
-    (True, rf"\.{CLOSE}*$", rf"\s+{_OPEN}"),
-    (True, rf"\.{CLOSE}*$", r"\s+[^\p{L}\p{N}]"),
+    (False, r"(?<![\p{L}\p{N}])[ap]\.\s?m\.", r"\s+(?:\p{N}|\p{Lu}{2})"),
+    (False, r"(?<![\p{L}\p{N}.])\p{Lu}\.", r"\s+\p{Lu}"),
+    (True, r"[!?…;;]" + CLOSE + "*", r"\s"),
+    (True, rf"\.{CLOSE}*", rf"\s+{_OPEN}*[\p{{Lu}}\p{{Lt}}\p{{Lo}}\p{{N}}]"),
+    (True, rf"\.{CLOSE}*", rf"\s+{_OPEN}"),
+    (True, rf"\.{CLOSE}*", r"\s+[^\p{L}\p{N}]"),
 ]

@@ -24,25 +24,23 @@ LIST_MARK = regex.compile(r"(?:[-*]|\p{N}+\.)[^\S\r\n]")
 PAIRS = regex.compile(
     r"„[^“”„]*[“”]|“[^“”]*”|«[^«»]*»|»[^«»]*«|「[^「」]*」|『[^『』]*』|\([^()]*\)|（[^（）]*）|\[[^\[\]]*\]|(?<!\S)\"[^\"]*\""
 )
-#: Pieces that are data and not prose: objects, tables, headers, escaped bytes.
-STRUCTURE = regex.compile(r"\A\s*(?:[{\[][^\p{L}]*\"[\s\S]*?\"\s*[:,\]][\s\S]*|\|[^\n]*\|[^\n]*\n?[\s\S]*|HTTP/\d[\s\S]*|\d{3}[ -][^\s.]+\.[^\s]+ [\s\S]*)\Z")
+#: Pieces that are data and not prose: JSON and tables.
+STRUCTURE = regex.compile(r"\A\s*(?:[{\[][^\p{L}]*\"[\s\S]*?\"\s*[:,\]][\s\S]*|\|[^\n]*\|[^\n]*\n?[\s\S]*)\Z")
 SCRIPTS = [("th", r"\p{Thai}"), ("ja", r"[\p{Hiragana}\p{Katakana}]"), ("zh", r"\p{Han}"), ("hi", r"\p{Devanagari}"), ("ar", r"\p{Arabic}"), ("el", r"\p{Greek}"), ("ru", r"\p{Cyrillic}")]
 LATIN = ("en", "es", "de", "fr")
 #: Share of a text's letters from which on a script decides its language; below it, letters of other scripts are strays.
 SCRIPT_SHARE = 0.1
-#: Characters that rules see before and after a place, and that an abbreviation's rule sees before it.
-LOOK, ABBREVIATION = 48, 18
 
 
-def may_break(piece: str, at: int) -> bool:
+def may_break(piece: str, at: int, mark: str) -> bool:
     """Whether any rule could break here: not after a mark inside a token, as in addresses, versions and file names."""
     following = piece[at : at + 1]
-    return not following or following.isspace() or following.isupper() or following.istitle() or not piece[at - 1].isascii()
+    return not following or following.isspace() or following.isupper() or following.istitle() or not (mark.isascii() and piece[at - 1].isascii())
 
 
 @lru_cache(maxsize=64)
 def tables(lang: str) -> tuple:
-    """(candidates, rules, rules for blanks or None) of a language, compiled."""
+    """(candidates, rules, rules for blanks or None) of a language, compiled. A rule is one pattern that looks both ways from a place."""
     of = LATIN if lang == "latin" else (lang,)
     rules: list[tuple[bool, str, str, bool]] = []
     for one in of:
@@ -53,10 +51,10 @@ def tables(lang: str) -> tuple:
         rules += [(*rule, False) for rule in R.BY_LANGUAGE.get(one, [])]
 
     def compiled(table) -> tuple:
-        return tuple((b, regex.compile(before) if before else None, regex.compile(after) if after else None, dot) for b, before, after, dot in table)
+        return tuple((b, regex.compile((f"(?<={before})" if before else "") + (f"(?={after})" if after else "")).match, dot) for b, before, after, dot in table)
 
     blanks = compiled((*rule, False) for rule in R.THAI_BLANKS) if lang == "th" else None
-    ends = regex.compile(f"(?:{R.GREEK_ENDS if lang == 'el' else R.ENDS})" + R.CLOSERS)
+    ends = regex.compile(f"({R.GREEK_ENDS if lang == 'el' else R.ENDS})" + R.CLOSERS)
     return ends, compiled(rules + [(*rule, False) for rule in R.COMMON]), blanks
 
 
@@ -94,13 +92,11 @@ def pieces(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def decide(rules: tuple, before: str, after: str) -> bool:
-    """The first rule that matches; abbreviations only where a period is the last mark, within the few characters they have."""
-    dot, tail = before[-1:] == ".", before[-ABBREVIATION:]
-    for breaks, left, right, abbreviation in rules:
-        if abbreviation and not dot:
-            continue
-        if (right is None or right.match(after)) and (left is None or left.search(tail if abbreviation else before)):
+def decide(rules: tuple, piece: str, at: int) -> bool:
+    """The first rule that matches at the place; abbreviations only after a period."""
+    dot = piece[at - 1] == "."
+    for breaks, match, abbreviation in rules:
+        if (dot or not abbreviation) and match(piece, at):
             return breaks
     return False
 
@@ -110,7 +106,7 @@ def boundaries(piece: str, lang: str) -> Iterator[int]:
     ends, rules, blanks = tables(lang)
     spans = [m.span() for m in PAIRS.finditer(piece)]
     k = 0
-    places = [(at, rules) for at in (m.end() for m in ends.finditer(piece)) if may_break(piece, at)]
+    places = [(m.end(), rules) for m in ends.finditer(piece) if may_break(piece, m.end(), piece[m.end(1) - 1])]
     if blanks:
         places = sorted(places + [(m.start(), blanks) for m in regex.finditer(r"(?<=\S)\s+(?=\S)", piece)], key=lambda p: p[0])
     for at, table in places:
@@ -118,7 +114,7 @@ def boundaries(piece: str, lang: str) -> Iterator[int]:
             k += 1
         if k < len(spans) and spans[k][0] < at:
             continue
-        if decide(table, piece[max(0, at - LOOK) : at], piece[at : at + LOOK]):
+        if decide(table, piece, at):
             yield at
 
 
@@ -146,7 +142,9 @@ def sentences(documents: DataFrame, text: str = "text", lang: str = "lang", key:
     def split(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        from harborlens.llm.batches import slices
+
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             keys, starts, ends = [], [], []
             for doc, body, code in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for a, b in units(body, code):

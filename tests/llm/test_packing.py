@@ -55,6 +55,17 @@ def test_pack(spark):
     assert sorted(map(tuple, placed), key=repr) == sorted(map(tuple, packing.pack(df, 100).collect()), key=repr)
 
 
+def test_shares_of_a_hot_length_change_no_rank_twice(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS_A_SHARE", 50)
+    df = spark.range(1000).selectExpr("id as doc_id", "if(id % 3 = 0, 40L, 7L) as n_tokens")
+    placed = packing.pack(df, 100).collect()
+    assert len({(r.container_id, r.offset) for r in placed}) == 1000
+    room = Counter()
+    for r in placed:
+        room[r.container_id] += r.n_tokens
+    assert max(room.values()) <= 100 and len(room) <= 1.02 * sum(room.values()) / 100 + 1
+
+
 def test_no_items(spark):
     df = spark.createDataFrame([], "doc_id bigint, n_tokens bigint")
     assert packing.pack(df, 100).isEmpty() and packing.plan({}, 100) == []

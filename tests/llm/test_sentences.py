@@ -70,3 +70,17 @@ def test_frame(spark):
     got = sorted(tuple(r) for r in sentences.sentences(df).where("doc_id <> 1").collect())
     assert got == [(d, a, b) for d in (2, 4) for a, b in ((0, 9), (10, 20))]
     assert sentences.sentences(df.limit(0)).isEmpty()
+
+
+def test_rules_see_the_whole_piece():
+    for blanks in (" ", " " * 60, "\n" + " " * 400):
+        text = f"They talked about vers.{blanks}one only here."
+        assert len(units(text, "en")) == 1, len(blanks)
+        assert len(units(f"It ended.{blanks}Another began.", "en")) == 2
+    quote = "„" + "Wort " * 300 + "ging.“"
+    assert len(units(f"{quote} Danach kam er.", "de")) == 2
+
+
+def test_ascii_closers_after_marks_of_other_scripts():
+    assert len(units('他说:"好的。"我们明天再查。', "zh")) == 2
+    assert len(units("(都好。)我们走。", "zh")) == 2
