@@ -7,15 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """df in at least as many tasks as there are cores, where few small files would leave most idle before costly work on each row.
-
-    Only a scan of less than one split a core is moved; a larger one already has its tasks.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < cores * split
-    return df.repartition(cores) if small and len(df.inputFiles()) < cores else df
