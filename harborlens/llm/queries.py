@@ -48,9 +48,9 @@ def p9_invariants(spark: SparkSession, folder: str) -> DataFrame:
     whole = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("packed"), F.count(F.lit(1)).alias("n_pieces"))
     wrong = F.coalesce(F.col("packed"), F.lit(-1)) != F.col("n_tokens")
     needless = F.col("n_pieces") > F.greatest(F.ceil(F.col("n_tokens") / CAPACITY), F.lit(1))
-    documents = counts.join(whole, "doc_id", "full").agg(F.count_if("packed is not null").alias("documents"), F.count_if(wrong).alias("wrong_sums"), F.count_if(needless).alias("needless_cuts"))
+    documents = counts.join(whole, "doc_id", "full").agg(F.count_if(F.col("packed").isNotNull()).alias("documents"), F.count_if(wrong).alias("wrong_sums"), F.count_if(needless).alias("needless_cuts"))
     held = placed.where("container_id is not null").groupBy("container_id").agg(F.sum("n_tokens").alias("tokens"), F.max(F.col("offset") + F.col("n_tokens")).alias("upto"), F.count_distinct("offset").alias("places"), F.count(F.lit(1)).alias("items"))
-    containers = held.agg(F.count_if(F.col("tokens") > CAPACITY).alias("too_full"), F.count_if("tokens <> upto or places <> items").alias("overlapping"))
+    containers = held.agg(F.count_if(F.col("tokens") > CAPACITY).alias("too_full"), F.count_if((F.col("tokens") != F.col("upto")) | (F.col("places") != F.col("items"))).alias("overlapping"))
     return documents.crossJoin(containers)  # one row each
 
 
