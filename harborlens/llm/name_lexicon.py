@@ -1,35 +1,14 @@
-"""Fixed values for reading names of bodies: kinds of purpose, legal forms, given names with their short forms.
+"""Fixed values for reading names of bodies, none of them from any table: legal forms, titles, small words, given names with
+their short forms, and abbreviations that keep no letter order or are shorter than two letters.
 
-The lists are parameters of the operator; a name none of whose words is listed is compared as a whole.
+The lists are parameters of the operator. What the names of a table say a body does (its purpose) is learned from that table.
 """
 
 from __future__ import annotations
 
-#: Purposes of institutions and firms, as their words in order. Numbered ones carry a number that tells bodies apart.
-NUMBERED = [
-    "fire protection district", "drainage district", "levee district", "voting precinct", "elementary school", "clinic building",
-]
-PURPOSES = [
-    "department of public safety", "academy of sciences", "foundation for historic buildings", "community college", "technical institute", "university",
-    "municipal court", "county government", "school district", "housing authority", "gas distribution authority", "planning commission", "harbor commission",
-    "assessor office", "electric cooperative", "water works", "agricultural association", "regional medical center", "general hospital", "public library",
-    "insurance agency", "savings bank", "property management", "construction and supply", "printing and packaging", "marine equipment", "marine services",
-    "engineering services", "international logistics", "brothers furniture", "dental associates", "veterinary clinic", "steel fabrication", "machine works",
-    "auto parts", "security systems", "consulting group", "logistics", "shipping", "foods", "catering", "plastics", "pharmacy", "software", "instruments",
-    "broadcasting", "realty", "manufacturing",
-]
-#: Purposes of one person's practice.
-PRACTICES = ["attorney at law", "piano studio", "optometry", "photography", "plumbing", "dds", "md", "cpa"]
-#: Practices whose holder is called doctor.
-DOCTORS = ["optometry", "dds", "md"]
-#: Words in the names of carriers.
-CARRIER = [
-    "fiber", "networks", "broadband", "communications", "telephone", "cooperative", "hosting", "services", "cable", "company", "wireless", "incorporated",
-    "transit", "digital", "satellite", "business", "internet", "municipal", "association", "colocation", "partners", "data", "exchange", "limited",
-    "television", "server", "rental", "systems", "backbone", "mobile", "corporation", "telecom", "managed", "edge", "rural", "optical", "cloud", "platform",
-    "centers",
-]
 LEGAL = ["incorporated", "corporation", "company", "limited", "liability", "llc", "inc", "ltd", "corp", "co", "cmpny", "lc", "plc", "lp", "llp"]
+#: Short forms that stand for one word wherever that word is common in the table.
+SHORT_WORDS = {"u": "university", "centre": "center", "centres": "centers", "coop": "cooperative", "eng": "engineering", "sys": "systems", "bros": "brothers"}
 TITLES = ["dr", "mr", "mrs", "ms", "prof"]
 FILLERS = ["of", "and", "for", "at", "the", "no", "num", "number", "hq", "main"]
 
@@ -43,4 +22,8 @@ GIVEN = {
     "christopher": "chris kit", "daniel": "dan danny", "david": "dave", "edward": "ed eddie ned", "frederick": "fred freddie", "gregory": "greg", "jennifer": "jen jenny",
     "joseph": "joe joey", "kenneth": "ken kenny", "matthew": "matt", "michael": "mike mick", "nicholas": "nick", "pamela": "pam", "peter": "pete", "philip": "phil",
     "rebecca": "becky", "richard": "rick dick rich", "ronald": "ron", "stephen": "steve", "susan": "sue susie", "timothy": "tim", "walter": "walt",
+    "abigail": "abby", "albert": "al bert", "alfred": "fred alf", "amanda": "mandy", "barbara": "barb babs", "beatrice": "bea", "bernard": "bernie", "caroline": "carrie",
+    "cynthia": "cindy", "deborah": "deb debbie", "donald": "don donnie", "douglas": "doug", "eleanor": "ellie nell nora", "eugene": "gene", "gabriel": "gabe", "gerald": "gerry jerry",
+    "harold": "harry hal", "jacob": "jake", "jonathan": "jon", "judith": "judy", "leonard": "len leo", "louis": "lou", "martha": "marty", "nancy": "nan", "raymond": "ray",
+    "sandra": "sandy", "valerie": "val", "virginia": "ginny", "winifred": "winnie",
 }
