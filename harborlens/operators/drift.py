@@ -1,11 +1,13 @@
 """Files whose records drift: one consistent table of all records, and a report of each change.
 
-Ingestion enforces a target schema; what is unknown or can't be cast is kept as JSON in a rescue column. Fields approved
-as other names of target fields are promoted, and their rescued values replayed into the typed columns by casts that
-also undo the known changes of shape. The report compares each file's fields with those of the feed's file before.
+Ingestion enforces a target schema in one parse; what is unknown or doesn't fit is kept as JSON in a rescue column. The report
+reads the ingested table alone: a file's fields are the typed columns it fills and the fields it rescues, compared with those
+of the feed's file before. Fields that someone approved as other names of target fields, for a feed or for all, are promoted,
+and their rescued values replayed into the typed columns by casts that also undo the known changes of shape.
 
 Defined cases
     * a line that is no JSON object is skipped (and counted by ``broken_lines``); a null value is an absent field.
+    * an object with keys that the target doesn't know doesn't fit and is rescued whole.
     * a field's type in a file is that of most of its values; ties go to the first name in alphabetical order.
     * a gone and a new field pair as ``renamed`` if each is the other's best match by content; others are removed or added.
     * a feed's first file has no changes; a file without any readable record has lost all fields.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from harborlens.session import cut
 
@@ -25,104 +28,33 @@ TARGET = {
     "version": "string", "info": "string", "timestamp": "string", "hash": "string", "cpe23": "array<string>", "tags": "array<string>",
     "location": "struct<city:string,region_code:string,country_code:string>",
 }
-#: Least cosine of the contents of a renamed field before and after.
+#: Least cosine of the contents of a renamed field before and after, in the two files or over all files.
 ALIKE = 0.3
+ALL_FEEDS = "*"
 
 
 def feed(name: Column) -> Column:
     return F.split_part(name, F.lit("-events-"), F.lit(1))
 
 
-def records(lines: DataFrame) -> DataFrame:
-    """src_file, line_no and the record as a variant, for the lines that hold a JSON object."""
-    parsed = lines.select("src_file", "line_no", F.try_parse_json("record").alias("doc"))
-    return parsed.where(F.schema_of_variant("doc").startswith("OBJECT"))
-
-
 def broken_lines(lines: DataFrame) -> DataFrame:
+    """src_file, n_broken."""
     bad = F.coalesce(~F.schema_of_variant(F.try_parse_json("record")).startswith("OBJECT"), F.lit(True))
     return lines.groupBy("src_file").agg(F.count_if(bad).alias("n_broken"))
 
 
-def fields(lines: DataFrame) -> DataFrame:
-    """src_file, line_no, field, kind (JSON type), value (JSON text): every value other than null."""
-    spark = lines.sparkSession
-    shape = F.schema_of_variant("value")
-    kind = (
-        F.when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape != "VOID", "number")
-    )
-    each = records(lines).lateralJoin(spark.tvf.variant_explode(F.col("doc").outer()))
-    return each.select("src_file", "line_no", F.col("key").alias("field"), kind.alias("kind"), F.to_json("value").alias("value")).where("kind is not null")
-
+def _json_kind(text: Column) -> Column:
+    """The JSON type of a JSON text."""
+    opens = F.substring(text, 1, 1)
+    return F.when(opens == '"', "string").when(opens == "{", "object").when(opens == "[", "array").when(opens.isin("t", "f"), "boolean").otherwise("number")
 
-def profile(values: DataFrame) -> DataFrame:
-    """src_file, field, kind: the fields of each file and the type of most of their values."""
-    counted = values.groupBy("src_file", "field", "kind").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("src_file", "field").agg(F.min_by("kind", F.struct(-F.col("n"), "kind")).alias("kind"))
-
-
-def file_order(lines: DataFrame) -> DataFrame:
-    """src_file and the feed's file before (null for the first). A feed has one file a day, so its window is bounded."""
-    names = lines.select("src_file").distinct()
-    return names.withColumn("before", F.lag("src_file").over(Window.partitionBy(feed(F.col("src_file"))).orderBy("src_file")))
-
-
-def _features(value: Column) -> Column:
-    """What a value's content is like: its words, or, without any, the shape of its dotted numbers."""
-    text = F.lower(value)
-    words = F.regexp_extract_all(text, F.lit(r"(\p{L}+)"), F.lit(1))
-    shape = F.regexp_replace(text, r"\d+", "9")
-    return F.when(text.isin("true", "false"), F.array().cast("array<string>")).when(F.size(words) > 0, words).when(shape.contains("9.9"), F.array(shape)).otherwise(F.array().cast("array<string>"))
-
-
-def _vectors(values: DataFrame, wanted: DataFrame) -> DataFrame:
-    """at, field, feature, w: the unit vector of each wanted field's contents. wanted: src_file, field, at."""
-    words = values.join(wanted, ["src_file", "field"]).select("at", "field", F.explode(_features(F.col("value"))).alias("feature"))
-    counted = words.groupBy("at", "field", "feature").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    norms = counted.groupBy("at", "field").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
-    return counted.join(norms, ["at", "field"]).select("at", "field", "feature", (F.col("n") / F.col("norm")).alias("w"))
-
-
-def changes(lines: DataFrame, alike: float = ALIKE) -> DataFrame:
-    """src_file, change_kind, old_field, new_field."""
-    values = fields(lines)
-    now, order = profile(values), file_order(lines)
-    later = order.where("before is not null")
-    mine = later.join(now, "src_file").select("src_file", "field", F.col("kind").alias("new_kind"))
-    theirs = now.withColumnRenamed("src_file", "before").join(later, "before").select("src_file", "field", F.col("kind").alias("old_kind"), "before")
-    both = cut(mine.join(theirs, ["src_file", "field"], "full"))  # a row per file and field, read by all that follows
-    retyped = both.where("new_kind <> old_kind").select("src_file", F.lit("retyped").alias("change_kind"), F.col("field").alias("old_field"), F.col("field").alias("new_field"))
-    gone = both.where("new_kind is null").select("src_file", "field", "before")
-    new = both.where("old_kind is null").select("src_file", "field")
-    # only files with both a gone and a new field can hold a rename
-    can = gone.select("src_file").join(new.select("src_file"), "src_file", "left_semi").distinct()
-    old_side = _vectors(values, gone.join(can, "src_file", "left_semi").select(F.col("before").alias("src_file"), "field", F.col("src_file").alias("at")))
-    new_side = _vectors(values, new.join(can, "src_file", "left_semi").select("src_file", "field", F.col("src_file").alias("at")))
-    pairs = old_side.withColumnRenamed("field", "old_field").withColumnRenamed("w", "ow").join(new_side.withColumnRenamed("field", "new_field"), ["at", "feature"])
-    scored = pairs.groupBy("at", "old_field", "new_field").agg(F.round(F.sum(F.col("ow") * F.col("w")), 9).alias("cosine")).where(F.col("cosine") >= alike)
-    rank = lambda side, other: F.row_number().over(Window.partitionBy("at", side).orderBy(F.desc("cosine"), other))
-    best = scored.withColumn("r_old", rank("old_field", "new_field")).withColumn("r_new", rank("new_field", "old_field")).where("r_old = 1 and r_new = 1")
-    renamed = cut(best.select(F.col("at").alias("src_file"), F.lit("renamed").alias("change_kind"), "old_field", "new_field"))
-    removed = gone.join(renamed.select("src_file", F.col("old_field").alias("field")), ["src_file", "field"], "left_anti")
-    added = new.join(renamed.select("src_file", F.col("new_field").alias("field")), ["src_file", "field"], "left_anti")
-    return (
-        retyped.unionByName(renamed)
-        .unionByName(removed.select("src_file", F.lit("removed").alias("change_kind"), F.col("field").alias("old_field"), F.lit("").alias("new_field")))
-        .unionByName(added.select("src_file", F.lit("added").alias("change_kind"), F.lit("").alias("old_field"), F.col("field").alias("new_field")))
-    )
 
-
-def approved_aliases(report: DataFrame, target: dict[str, str] = TARGET) -> dict[str, str]:
-    """Other names of target fields: those that renames lead to. The edges are pairs of field names, as many as schemas, not rows."""
-    edges = {(r.old_field, r.new_field) for r in report.where("change_kind = 'renamed'").select("old_field", "new_field").distinct().toLocalIterator()}
-    known = {f: f for f in target}
-    while more := {b: known[a] for x, y in edges for a, b in ((x, y), (y, x)) if a in known and b not in known}:
-        known |= more
-    return {a: f for a, f in known.items() if a not in target}
+def _target_kind(kind: str) -> str:
+    return "array" if kind.startswith("array") else "object" if kind.startswith("struct") else "string" if kind == "string" else "number"
 
 
 def _cast(value: Column, kind: str) -> Column:
-    """A JSON text as the target type, undoing changes of shape; null where it can't be cast."""
+    """A JSON text as the target type, undoing changes of shape (an object's keys are in order of the alphabet); null where it can't be cast."""
     opens = F.substring(value, 1, 1)
     text = F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")
     if kind == "array<string>":
@@ -142,27 +74,135 @@ def _fits(value: Column, kind: str) -> Column:
     if kind == "array<string>":
         return opens == "["
     if kind.startswith("struct"):
-        return opens == "{"
+        known = [F.lit(f.name) for f in StructType.fromDDL(kind[len("struct<") : -1]).fields]
+        return (opens == "{") & (F.size(F.array_except(F.json_object_keys(value), F.array(*known))) == 0)
     return opens == '"' if kind == "string" else value.rlike(r"^-?\d+$")
 
 
 def ingest(lines: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
     """src_file, line_no, the typed target columns, and ``rescued``: the other values, by field, as JSON text. One projection."""
+    parsed = lines.select("src_file", "line_no", F.try_parse_json("record").alias("doc")).where(F.schema_of_variant("doc").startswith("OBJECT"))
     each = F.transform_values(F.try_variant_get("doc", "$", "map<string,variant>"), lambda k, v: F.to_json(v))
-    values = records(lines).select("src_file", "line_no", F.map_filter(each, lambda k, v: v != "null").alias("doc"))
-    typed, doc = {}, F.col("doc")
-    for name, kind in target.items():
-        value = doc[name]
-        typed[name] = F.when(_fits(value, kind), _cast(value, kind))
-    out = values.select("src_file", "line_no", *[c.alias(n) for n, c in typed.items()], "doc")
+    values = parsed.select("src_file", "line_no", F.map_filter(each, lambda k, v: v != "null").alias("doc"))
+    typed = [F.when(_fits(F.col("doc")[n], kind), _cast(F.col("doc")[n], kind)).alias(n) for n, kind in target.items()]
+    out = values.select("src_file", "line_no", *typed, "doc")
     good = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in target]))
     return out.withColumn("good", good).withColumn("rescued", F.map_filter("doc", lambda k, v: ~F.array_contains(F.col("good"), k))).drop("doc", "good")
 
 
-def replay(table: DataFrame, aliases: dict[str, str], target: dict[str, str] = TARGET) -> DataFrame:
-    """Promotes the aliases: rescued values move into the typed columns that are still null; what can't be cast stays rescued."""
-    names = {f: [f, *sorted(a for a, t in aliases.items() if t == f)] for f in target}
-    source = {f: F.coalesce(*[F.when(_cast(F.col("rescued")[n], kind).isNotNull(), F.lit(n)) for n in names[f]]) for f, kind in target.items()}
+def _features(text: Column) -> Column:
+    """What a value's content is like: its words, or, without any, the shape of its dotted numbers."""
+    lower = F.lower(text)
+    words = F.regexp_extract_all(lower, F.lit(r"(\p{L}+)"), F.lit(1))
+    shape = F.regexp_replace(lower, r"\d+", "9")
+    none = F.array().cast("array<string>")
+    return F.when(lower.isin("true", "false"), none).when(F.size(words) > 0, words).when(shape.contains("9.9"), F.array(shape)).otherwise(none)
+
+
+def contents(table: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
+    """src_file, field, kind, feature, n: how often the fields of a file hold what. Rows without a feature count values. One aggregation.
+
+    table: what ingest gives.
+    """
+    text = {n: F.to_json(n) if kind[:5] in ("array", "struc") else F.col(n).cast("string") for n, kind in target.items()}
+    typed = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.lit(n).alias("field"), F.lit(_target_kind(kind)).alias("kind"), text[n].alias("text"))) for n, kind in target.items()]))
+    rescued = F.transform(F.map_entries("rescued"), lambda e: F.struct(e["key"].alias("field"), _json_kind(e["value"]).alias("kind"), F.btrim(e["value"], F.lit('"')).alias("text")))
+    each = table.select("src_file", F.inline(F.concat(typed, rescued)))
+    told = each.select("src_file", "field", "kind", F.explode(F.concat(F.array(F.lit(None).cast("string")), _features(F.col("text")))).alias("feature"))
+    return told.groupBy("src_file", "field", "kind", "feature").agg(F.count(F.lit(1)).alias("n"))
+
+
+def file_order(lines: DataFrame) -> DataFrame:
+    """src_file and the feed's file after (null for the last). A feed has one file a day, so its window is bounded."""
+    names = lines.select("src_file").distinct()
+    return names.withColumn("after", F.lead("src_file").over(Window.partitionBy(feed(F.col("src_file"))).orderBy("src_file")))
+
+
+def _kinds(found: DataFrame, order: DataFrame) -> DataFrame:
+    """src_file, before, field, old_kind, new_kind of every file that has one before it, as one grouping of both sides."""
+    kinds = found.where("feature is null").groupBy("src_file", "field").agg(F.min_by("kind", F.struct(-F.col("n"), "kind")).alias("kind"))
+    none = F.lit(None).cast("string")
+    later = order.where("after is not null").select(F.col("after").alias("file"), F.col("src_file").alias("before"))
+    sides = F.array(F.struct(F.col("src_file").alias("file"), none.alias("old_kind"), F.col("kind").alias("new_kind")), F.struct(F.col("after").alias("file"), F.col("kind").alias("old_kind"), none.alias("new_kind")))
+    each = kinds.join(order, "src_file").select("field", F.inline(sides)).where("file is not null")
+    both = each.groupBy("file", "field").agg(F.max("old_kind").alias("old_kind"), F.max("new_kind").alias("new_kind"))
+    return both.join(later, "file").select(F.col("file").alias("src_file"), "before", "field", "old_kind", "new_kind")
+
+
+def _cosines(left: DataFrame, right: DataFrame, at: list[str]) -> DataFrame:
+    """at, old_field, new_field, cosine. left, right: at, the field, feature, n."""
+    dots = left.withColumnRenamed("n", "o").join(right.withColumnRenamed("n", "w"), [*at, "feature"]).groupBy(*at, "old_field", "new_field").agg(F.sum(F.col("o") * F.col("w")).alias("dot"))
+    norm = lambda side, field, name: side.groupBy(*at, field).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias(name))
+    both = dots.join(norm(left, "old_field", "a"), [*at, "old_field"]).join(norm(right, "new_field", "b"), [*at, "new_field"])
+    return both.select(*at, "old_field", "new_field", F.round(F.col("dot") / F.col("a") / F.col("b"), 9).alias("cosine"))
+
+
+def _renames(found: DataFrame, gone: DataFrame, new: DataFrame, alike: float) -> DataFrame:
+    """src_file, old_field, new_field: pairs that are each other's best match in content."""
+    can = gone.join(new, "src_file", "left_semi").join(new.select("src_file").distinct(), "src_file", "left_semi")
+    said = found.where("feature is not null").groupBy("src_file", "field", "feature").agg(F.sum("n").cast("double").alias("n"))
+    old_side = can.select(F.col("src_file").alias("at"), F.col("before").alias("src_file"), "field").join(said, ["src_file", "field"]).select("at", F.col("field").alias("old_field"), "feature", "n")
+    new_side = new.join(gone, "src_file", "left_semi").join(said, ["src_file", "field"]).select(F.col("src_file").alias("at"), F.col("field").alias("new_field"), "feature", "n")
+    here = _cosines(old_side, new_side, ["at"])
+    # a file may hold too little; what its fields hold in all files tells more. Only pairs of names that can be a rename are compared.
+    possible = cut(can.select(F.col("src_file").alias("at"), F.col("field").alias("old_field")).join(new.select(F.col("src_file").alias("at"), F.col("field").alias("new_field")), "at"))
+    names = possible.select("old_field", "new_field").distinct()
+    overall = said.groupBy("field", "feature").agg(F.sum("n").alias("n"))
+    old_all = names.join(overall.withColumnRenamed("field", "old_field"), "old_field").withColumnRenamed("new_field", "other")
+    new_all = overall.withColumnRenamed("field", "new_field")
+    everywhere = _name_cosines(old_all, new_all, overall)
+    scored = possible.join(here, ["at", "old_field", "new_field"], "left").withColumnRenamed("cosine", "here").join(everywhere, ["old_field", "new_field"], "left")
+    scored = scored.withColumn("cosine", F.greatest(F.coalesce("here", F.lit(0.0)), F.coalesce("cosine", F.lit(0.0)))).where(F.col("cosine") >= alike)
+    rank = lambda side, other: F.row_number().over(Window.partitionBy("at", side).orderBy(F.desc("cosine"), F.desc_nulls_last("here"), other))
+    best = scored.withColumn("r_old", rank("old_field", "new_field")).withColumn("r_new", rank("new_field", "old_field")).where("r_old = 1 and r_new = 1")
+    return best.select(F.col("at").alias("src_file"), "old_field", "new_field")
+
+
+def _name_cosines(old_all: DataFrame, new_all: DataFrame, overall: DataFrame) -> DataFrame:
+    """old_field, new_field, cosine of the contents over all files. old_all: old_field, other (the new name), feature, n."""
+    norm = overall.groupBy("field").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
+    met = old_all.withColumnRenamed("n", "o").withColumnRenamed("other", "new_field").join(new_all, ["new_field", "feature"])
+    dots = met.groupBy("old_field", "new_field").agg(F.sum(F.col("o") * F.col("n")).alias("dot"))
+    both = dots.join(norm.select(F.col("field").alias("old_field"), F.col("norm").alias("a")), "old_field").join(norm.select(F.col("field").alias("new_field"), F.col("norm").alias("b")), "new_field")
+    return both.select("old_field", "new_field", F.round(F.col("dot") / F.col("a") / F.col("b"), 9).alias("cosine"))
+
+
+def changes(table: DataFrame, lines: DataFrame, target: dict[str, str] = TARGET, alike: float = ALIKE) -> DataFrame:
+    """src_file, change_kind, old_field, new_field. table: what ingest gives for the lines; of those only the file names are read."""
+    found = cut(contents(table, target))
+    both = cut(_kinds(found, file_order(lines)))  # a row per file and field, read by all that follows
+    gone, new = both.where("new_kind is null").select("src_file", "before", "field"), both.where("old_kind is null").select("src_file", "field")
+    renamed = cut(_renames(found, gone, new, alike))
+    ends = renamed.select("src_file", F.inline(F.array(F.struct(F.lit("removed").alias("change_kind"), F.col("old_field").alias("field")), F.struct(F.lit("added").alias("change_kind"), F.col("new_field").alias("field")))))
+    kind = F.when(F.col("new_kind").isNull(), "removed").when(F.col("old_kind").isNull(), "added").when(F.col("old_kind") != F.col("new_kind"), "retyped")
+    single = both.select("src_file", kind.alias("change_kind"), "field").where("change_kind is not null").join(ends, ["src_file", "change_kind", "field"], "left_anti")
+    side = lambda absent: F.when(F.col("change_kind") == absent, "").otherwise(F.col("field"))
+    return single.select("src_file", "change_kind", side("added").alias("old_field"), side("removed").alias("new_field")).unionByName(renamed.select("src_file", F.lit("renamed").alias("change_kind"), "old_field", "new_field"))
+
+
+def proposals(report: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
+    """feed, alias, field, n: renames from or to a target field, for someone to approve."""
+    renamed = report.where("change_kind = 'renamed'").withColumn("feed", feed(F.col("src_file")))
+    ways = F.array(F.struct(F.col("old_field").alias("field"), F.col("new_field").alias("alias")), F.struct(F.col("new_field").alias("field"), F.col("old_field").alias("alias")))
+    each = renamed.select("feed", F.inline(ways)).where(F.col("field").isin(*target) & ~F.col("alias").isin(*target))
+    return each.groupBy("feed", "alias", "field").agg(F.count(F.lit(1)).alias("n"))
+
+
+def replay(table: DataFrame, approved: list[tuple[str, str, str]], target: dict[str, str] = TARGET) -> DataFrame:
+    """Promotes what is approved, as (feed or ``*``, alias, field): rescued values move into the typed columns that are still null.
+
+    A field's own name comes first, then its aliases in order of the alphabet; what can't be cast stays rescued.
+    """
+    here = feed(F.col("src_file"))
+
+    def value(alias: str, feeds: list[str]) -> Column:
+        rescued = F.col("rescued")[alias]
+        return rescued if ALL_FEEDS in feeds else F.when(here.isin(*feeds), rescued)
+
+    names = {f: {f: [ALL_FEEDS]} for f in target}
+    for of, alias, field in sorted(approved, key=lambda a: a[1]):
+        names[field].setdefault(alias, []).append(of)
+    source = {f: F.coalesce(*[F.when(_cast(value(n, of), kind).isNotNull(), F.lit(n)) for n, of in names[f].items()]) for f, kind in target.items()}
     staged = table.withColumns({f"from_{f}": F.when(F.col(f).isNull(), c) for f, c in source.items()})
     filled = {f: F.coalesce(F.col(f), _cast(F.col("rescued")[F.col(f"from_{f}")], kind)) for f, kind in target.items()}
     used = F.array_compact(F.array(*[F.col(f"from_{f}") for f in target]))

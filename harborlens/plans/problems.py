@@ -11,6 +11,12 @@ from harborlens.sources.tables import table
 
 SERVICE = ["ip", "port"]
 HOT_SHARE = 0.04
+#: Other names of target fields that were approved for the files of observation_files, for all feeds.
+APPROVED = [
+    (drift.ALL_FEEDS, alias, field)
+    for field, aliases in {"isp": "carrier", "info": "extra_info", "version": "product_version softwareVersion ver", "cpe23": "cpe23Uri cpe_23 platform_ids", "tags": "Tags labels tag_list"}.items()
+    for alias in aliases.split()
+]
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,13 +67,20 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.changes(table(spark, folder, "observation_files"))
+    lines = table(spark, folder, "observation_files")
+    return drift.changes(written(drift.ingest(lines), "ingested"), lines)
 
 
 def p6_table(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "observation_files")
-    out = drift.replay(drift.ingest(lines), drift.approved_aliases(drift.changes(lines)))
-    return out.withColumns({c: F.to_json(c) for c in ("cpe23", "tags", "location", "rescued")})
+    """All records in the target schema, with the names of the fields that stay rescued."""
+    out = drift.replay(drift.ingest(table(spark, folder, "observation_files")), APPROVED)
+    texts = out.withColumns({"cpe23": F.array_join("cpe23", "|"), "tags": F.array_join("tags", "|"), "rescued": F.array_join(F.array_sort(F.map_keys("rescued")), ",")})
+    place = F.concat_ws("|", *[F.coalesce(F.col(f"location.{c}"), F.lit("")) for c in ("city", "region_code", "country_code")])
+    return texts.withColumn("location", F.when(F.col("location").isNotNull(), place))
+
+
+def p6_proposals(spark: SparkSession, folder: str) -> DataFrame:
+    return drift.proposals(p6_found(spark, folder))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,7 +91,7 @@ def p7_profile(spark: SparkSession, folder: str) -> DataFrame:
     return skew.profile(table(spark, folder, "observations"), ["org", "asn"], "port", "ip")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_references, p3_ranges, p4_found, p5_found, p5_history, p5_complete, p6_found, p6_table, p7_found, p7_profile)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_references, p3_ranges, p4_found, p5_found, p5_history, p5_complete, p6_found, p6_table, p6_proposals, p7_found, p7_profile)}
 
 _MESSAGES = """m as (select obs_id, ip,
     case when hash is null or trim(hash) = 'None' then port end as p,
@@ -108,7 +121,30 @@ select ip, cast(port as bigint) as port, {{columns}} cast(date as varchar) as va
 
 _CVES = "cves as (select rec_id, unnest(map_keys(vulns)) as cve, unnest(map_values(vulns)) as t from daily_downloads), texts as (select * from cves where json_valid(t))"
 
+
+
+def _drift_sql() -> str:
+    """The consistent table, field by field from the first of its names that can be cast."""
+    cast = {
+        "string": "case json_type({v}) when 'OBJECT' then array_to_string(list_transform(list_sort(json_keys({v})), lambda k: {v} ->> k), '.') when 'ARRAY' then null else {v} ->> '$' end",
+        "array<string>": "case json_type({v}) when 'ARRAY' then array_to_string({v} ->> '$[*]', '|') when 'OBJECT' then array_to_string(list_filter(list_sort(json_keys({v})), lambda k: ({v} ->> k) = 'true'), '|') when 'VARCHAR' then replace({v} ->> '$', ',', '|') end",
+        "int": "case when json_type({v}) not in ('OBJECT', 'ARRAY') then try_cast({v} ->> '$' as int) end",
+    }
+    place = " || '|' || ".join(f"coalesce({{v}} ->> '{c}', '')" for c in ("city", "region_code", "country_code"))
+    columns, used = [], []
+    for field, kind in drift.TARGET.items():
+        names = [field, *sorted(a for _, a, f in APPROVED if f == field)]
+        sql = cast.get(kind, f"case when json_type({{v}}) = 'OBJECT' then {place} end")
+        each = [(n, sql.replace("{v}", f"nullif(r -> '$.\"{n}\"', 'null'::json)")) for n in names]
+        columns.append(f"coalesce({', '.join(c for _, c in each)}) as \"{field}\"")
+        used.append("case " + " ".join(f"when {c} is not null then '{n}'" for n, c in each) + " end")
+    return f"""with j as (select src_file, line_no, record::json as r from observation_files where json_valid(record)), o as (select * from j where json_type(r) = 'OBJECT')
+select src_file, line_no, {", ".join(columns)},
+    array_to_string(list_sort(list_filter(json_keys(r), lambda k: coalesce(json_type(r -> ('$."' || k || '"')), 'NULL') <> 'NULL' and not list_contains([{", ".join(used)}], k))), ',') as rescued from o"""
+
+
 ORACLE = {
+    "p6_table": _drift_sql(),
     "p2_found": f"with {_MESSAGES} select obs_id from copies",
     "p3_found": f"""with {_CVES},
 refs as (select rec_id, cve, t, unnest(range(cast(json_array_length(t, '$.references') as bigint))) as i from texts where json_type(t, '$.references') = 'ARRAY'),
