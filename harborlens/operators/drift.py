@@ -81,9 +81,11 @@ def _fits(value: Column, kind: str) -> Column:
 
 def ingest(lines: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
     """src_file, line_no, the typed target columns, and ``rescued``: the other values, by field, as JSON text. One projection."""
-    parsed = lines.select("src_file", "line_no", F.try_parse_json("record").alias("doc")).where(F.schema_of_variant("doc").startswith("OBJECT"))
-    each = F.transform_values(F.try_variant_get("doc", "$", "map<string,variant>"), lambda k, v: F.to_json(v))
-    values = parsed.select("src_file", "line_no", F.map_filter(each, lambda k, v: v != "null").alias("doc"))
+    parsed = lines.select("src_file", "line_no", F.try_parse_json("record").alias("doc"), F.from_json("record", "map<string,string>").alias("plain")).where(F.schema_of_variant("doc").startswith("OBJECT"))
+    each = F.map_filter(F.transform_values(F.try_variant_get("doc", "$", "map<string,variant>"), lambda k, v: F.to_json(v)), lambda k, v: v != "null")
+    # a variant drops the zero of 7.0, which tells versions apart
+    as_written = F.transform_values(each, lambda k, v: F.when(_json_kind(v) == "number", F.coalesce(F.col("plain")[k], v)).otherwise(v))
+    values = parsed.select("src_file", "line_no", as_written.alias("doc"))
     typed = [F.when(_fits(F.col("doc")[n], kind), _cast(F.col("doc")[n], kind)).alias(n) for n, kind in target.items()]
     out = values.select("src_file", "line_no", *typed, "doc")
     good = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in target]))

@@ -50,11 +50,11 @@ def test_empty(spark):
 
 
 def test_objects_with_unknown_keys_and_fields_of_one_name_in_two_cases(spark):
-    records = [{"location": {"city": "X", "planet": 3}, "Port": 1, "port": 2}, {"location": {"city": "Y"}, "port": 2.5}, {"location": "Z"}]
+    records = [{"location": {"city": "X", "planet": 3}, "Port": 1, "port": 2}, {"location": {"city": "Y"}, "port": 2.5}, {"location": "Z", "ver": 7.0, "n": -1.50}]
     df = spark.createDataFrame(lines({1: records}), "src_file string, line_no int, record string, field string")
     got = {r.line_no: r for r in drift.ingest(df, {"port": "int", "location": drift.TARGET["location"]}).collect()}
     assert got[0].location is None and json.loads(got[0].rescued["location"]) == records[0]["location"] and got[0].port == 2 and got[0].rescued["Port"] == "1"
-    assert got[1].location.city == "Y" and got[1].port is None and got[1].rescued == {"port": "2.5"} and got[2].rescued == {"location": '"Z"'}
+    assert got[1].location.city == "Y" and got[1].port is None and got[1].rescued == {"port": "2.5"} and got[2].rescued == {"location": '"Z"', "ver": "7.0", "n": "-1.5"}
 
 
 def test_contents_over_all_files_tell_a_rename_that_one_file_cannot(spark, rows):
