@@ -28,7 +28,7 @@ TARGET = {
     "version": "string", "info": "string", "timestamp": "string", "hash": "string", "cpe23": "array<string>", "tags": "array<string>",
     "location": "struct<city:string,region_code:string,country_code:string>",
 }
-#: Least cosine of the contents of a renamed field before and after, in the two files or over all files.
+#: Least cosine of the contents of a renamed field's two names.
 ALIKE = 0.3
 ALL_FEEDS = "*"
 
@@ -101,17 +101,26 @@ def _features(text: Column) -> Column:
     return F.when(lower.isin("true", "false"), none).when(F.size(words) > 0, words).when(shape.contains("9.9"), F.array(shape)).otherwise(none)
 
 
-def contents(table: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
-    """src_file, field, kind, feature, n: how often the fields of a file hold what. Rows without a feature count values. One aggregation.
-
-    table: what ingest gives.
-    """
+def _entries(table: DataFrame, target: dict[str, str], value) -> DataFrame:
+    """src_file, field, and what value(text, kind) makes of each value of what ingest gave."""
     text = {n: F.to_json(n) if kind[:5] in ("array", "struc") else F.col(n).cast("string") for n, kind in target.items()}
-    typed = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.lit(n).alias("field"), F.lit(_target_kind(kind)).alias("kind"), text[n].alias("text"))) for n, kind in target.items()]))
-    rescued = F.transform(F.map_entries("rescued"), lambda e: F.struct(e["key"].alias("field"), _json_kind(e["value"]).alias("kind"), F.btrim(e["value"], F.lit('"')).alias("text")))
-    each = table.select("src_file", F.inline(F.concat(typed, rescued)))
-    told = each.select("src_file", "field", "kind", F.explode(F.concat(F.array(F.lit(None).cast("string")), _features(F.col("text")))).alias("feature"))
-    return told.groupBy("src_file", "field", "kind", "feature").agg(F.count(F.lit(1)).alias("n"))
+    typed = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.lit(n).alias("field"), value(text[n], F.lit(_target_kind(kind))))) for n, kind in target.items()]))
+    rescued = F.transform(F.map_entries("rescued"), lambda e: F.struct(e["key"].alias("field"), value(F.btrim(e["value"], F.lit('"')), _json_kind(e["value"]))))
+    return table.select("src_file", F.inline(F.concat(typed, rescued)))
+
+
+def field_kinds(table: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
+    """src_file, field, kind: the fields of each file and the type of most of their values. table: what ingest gives."""
+    counted = _entries(table, target, lambda text, kind: kind.alias("kind")).groupBy("src_file", "field", "kind").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("src_file", "field").agg(F.min_by("kind", F.struct(-F.col("n"), "kind")).alias("kind"))
+
+
+def contents(table: DataFrame, names: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
+    """field, feature, w: the unit vector of what each of the named fields holds, over all files. names: field."""
+    each = _entries(table, target, lambda text, kind: text.alias("text")).join(names, "field")
+    counted = each.select("field", F.explode(_features(F.col("text"))).alias("feature")).groupBy("field", "feature").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    norms = counted.groupBy("field").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
+    return counted.join(norms, "field").select("field", "feature", (F.col("n") / F.col("norm")).alias("w"))
 
 
 def file_order(lines: DataFrame) -> DataFrame:
@@ -120,61 +129,37 @@ def file_order(lines: DataFrame) -> DataFrame:
     return names.withColumn("after", F.lead("src_file").over(Window.partitionBy(feed(F.col("src_file"))).orderBy("src_file")))
 
 
-def _kinds(found: DataFrame, order: DataFrame) -> DataFrame:
-    """src_file, before, field, old_kind, new_kind of every file that has one before it, as one grouping of both sides."""
-    kinds = found.where("feature is null").groupBy("src_file", "field").agg(F.min_by("kind", F.struct(-F.col("n"), "kind")).alias("kind"))
+def _beside(kinds: DataFrame, order: DataFrame) -> DataFrame:
+    """src_file, field, old_kind, new_kind of every file that has one before it, as one grouping of both sides."""
     none = F.lit(None).cast("string")
-    later = order.where("after is not null").select(F.col("after").alias("file"), F.col("src_file").alias("before"))
     sides = F.array(F.struct(F.col("src_file").alias("file"), none.alias("old_kind"), F.col("kind").alias("new_kind")), F.struct(F.col("after").alias("file"), F.col("kind").alias("old_kind"), none.alias("new_kind")))
     each = kinds.join(order, "src_file").select("field", F.inline(sides)).where("file is not null")
+    first = order.groupBy(feed(F.col("src_file"))).agg(F.min("src_file").alias("file")).select("file")
     both = each.groupBy("file", "field").agg(F.max("old_kind").alias("old_kind"), F.max("new_kind").alias("new_kind"))
-    return both.join(later, "file").select(F.col("file").alias("src_file"), "before", "field", "old_kind", "new_kind")
-
-
-def _cosines(left: DataFrame, right: DataFrame, at: list[str]) -> DataFrame:
-    """at, old_field, new_field, cosine. left, right: at, the field, feature, n."""
-    dots = left.withColumnRenamed("n", "o").join(right.withColumnRenamed("n", "w"), [*at, "feature"]).groupBy(*at, "old_field", "new_field").agg(F.sum(F.col("o") * F.col("w")).alias("dot"))
-    norm = lambda side, field, name: side.groupBy(*at, field).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias(name))
-    both = dots.join(norm(left, "old_field", "a"), [*at, "old_field"]).join(norm(right, "new_field", "b"), [*at, "new_field"])
-    return both.select(*at, "old_field", "new_field", F.round(F.col("dot") / F.col("a") / F.col("b"), 9).alias("cosine"))
-
-
-def _renames(found: DataFrame, gone: DataFrame, new: DataFrame, alike: float) -> DataFrame:
-    """src_file, old_field, new_field: pairs that are each other's best match in content."""
-    can = gone.join(new, "src_file", "left_semi").join(new.select("src_file").distinct(), "src_file", "left_semi")
-    said = found.where("feature is not null").groupBy("src_file", "field", "feature").agg(F.sum("n").cast("double").alias("n"))
-    old_side = can.select(F.col("src_file").alias("at"), F.col("before").alias("src_file"), "field").join(said, ["src_file", "field"]).select("at", F.col("field").alias("old_field"), "feature", "n")
-    new_side = new.join(gone, "src_file", "left_semi").join(said, ["src_file", "field"]).select(F.col("src_file").alias("at"), F.col("field").alias("new_field"), "feature", "n")
-    here = _cosines(old_side, new_side, ["at"])
-    # a file may hold too little; what its fields hold in all files tells more. Only pairs of names that can be a rename are compared.
-    possible = cut(can.select(F.col("src_file").alias("at"), F.col("field").alias("old_field")).join(new.select(F.col("src_file").alias("at"), F.col("field").alias("new_field")), "at"))
-    names = possible.select("old_field", "new_field").distinct()
-    overall = said.groupBy("field", "feature").agg(F.sum("n").alias("n"))
-    old_all = names.join(overall.withColumnRenamed("field", "old_field"), "old_field").withColumnRenamed("new_field", "other")
-    new_all = overall.withColumnRenamed("field", "new_field")
-    everywhere = _name_cosines(old_all, new_all, overall)
-    scored = possible.join(here, ["at", "old_field", "new_field"], "left").withColumnRenamed("cosine", "here").join(everywhere, ["old_field", "new_field"], "left")
-    scored = scored.withColumn("cosine", F.greatest(F.coalesce("here", F.lit(0.0)), F.coalesce("cosine", F.lit(0.0)))).where(F.col("cosine") >= alike)
-    rank = lambda side, other: F.row_number().over(Window.partitionBy("at", side).orderBy(F.desc("cosine"), F.desc_nulls_last("here"), other))
-    best = scored.withColumn("r_old", rank("old_field", "new_field")).withColumn("r_new", rank("new_field", "old_field")).where("r_old = 1 and r_new = 1")
-    return best.select(F.col("at").alias("src_file"), "old_field", "new_field")
+    return both.join(first, "file", "left_anti").withColumnRenamed("file", "src_file")
+
 
+def _renames(table: DataFrame, gone: DataFrame, new: DataFrame, target: dict[str, str], alike: float) -> DataFrame:
+    """src_file, old_field, new_field: pairs of a file that are each other's best match in content.
 
-def _name_cosines(old_all: DataFrame, new_all: DataFrame, overall: DataFrame) -> DataFrame:
-    """old_field, new_field, cosine of the contents over all files. old_all: old_field, other (the new name), feature, n."""
-    norm = overall.groupBy("field").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
-    met = old_all.withColumnRenamed("n", "o").withColumnRenamed("other", "new_field").join(new_all, ["new_field", "feature"])
-    dots = met.groupBy("old_field", "new_field").agg(F.sum(F.col("o") * F.col("n")).alias("dot"))
-    both = dots.join(norm.select(F.col("field").alias("old_field"), F.col("norm").alias("a")), "old_field").join(norm.select(F.col("field").alias("new_field"), F.col("norm").alias("b")), "new_field")
-    return both.select("old_field", "new_field", F.round(F.col("dot") / F.col("a") / F.col("b"), 9).alias("cosine"))
+    Contents are taken over all files, for one file may hold too little; only names that can be a rename are compared.
+    """
+    possible = cut(gone.select("src_file", F.col("field").alias("old_field")).join(new.select("src_file", F.col("field").alias("new_field")), "src_file"))
+    names = possible.select(F.explode(F.array("old_field", "new_field")).alias("field")).distinct()
+    held = cut(contents(table, names, target))
+    old, other = held.select(F.col("field").alias("old_field"), "feature", F.col("w").alias("o")), held.select(F.col("field").alias("new_field"), "feature", "w")
+    met = possible.select("old_field", "new_field").distinct().join(old, "old_field").join(other, ["new_field", "feature"])
+    cosines = met.groupBy("old_field", "new_field").agg(F.round(F.sum(F.col("o") * F.col("w")), 9).alias("cosine")).where(F.col("cosine") >= alike)
+    scored = possible.join(cosines, ["old_field", "new_field"])
+    rank = lambda side, other: F.row_number().over(Window.partitionBy("src_file", side).orderBy(F.desc("cosine"), other))
+    best = scored.withColumn("r_old", rank("old_field", "new_field")).withColumn("r_new", rank("new_field", "old_field")).where("r_old = 1 and r_new = 1")
+    return best.select("src_file", "old_field", "new_field")
 
 
 def changes(table: DataFrame, lines: DataFrame, target: dict[str, str] = TARGET, alike: float = ALIKE) -> DataFrame:
     """src_file, change_kind, old_field, new_field. table: what ingest gives for the lines; of those only the file names are read."""
-    found = cut(contents(table, target))
-    both = cut(_kinds(found, file_order(lines)))  # a row per file and field, read by all that follows
-    gone, new = both.where("new_kind is null").select("src_file", "before", "field"), both.where("old_kind is null").select("src_file", "field")
-    renamed = cut(_renames(found, gone, new, alike))
+    both = cut(_beside(field_kinds(table, target), file_order(lines)))  # a row per file and field, read by all that follows
+    renamed = cut(_renames(table, both.where("new_kind is null"), both.where("old_kind is null"), target, alike))
     ends = renamed.select("src_file", F.inline(F.array(F.struct(F.lit("removed").alias("change_kind"), F.col("old_field").alias("field")), F.struct(F.lit("added").alias("change_kind"), F.col("new_field").alias("field")))))
     kind = F.when(F.col("new_kind").isNull(), "removed").when(F.col("old_kind").isNull(), "added").when(F.col("old_kind") != F.col("new_kind"), "retyped")
     single = both.select("src_file", kind.alias("change_kind"), "field").where("change_kind is not null").join(ends, ["src_file", "change_kind", "field"], "left_anti")

@@ -20,18 +20,19 @@ def with_city(banners: DataFrame) -> DataFrame:
     return banners.withColumn("date", day_of_file(F.col("src_file"))).withColumn("city", F.col("location.city"))
 
 
-def project(banners: DataFrame) -> DataFrame:
-    """The 20 columns of observations (and rec_id), with each host's tier of that day."""
+def project(banners: DataFrame, strict: bool = False) -> DataFrame:
+    """The 20 columns of observations (and rec_id), with each host's tier of that day. A time that is none is null or, if strict, an error."""
     rows = with_city(banners.drop("tier")).where("ip_str <> ''")
     hosts = aggregate_hosts(rows, ["date"])
     tiers = hosts.select("date", F.col("ip").alias("ip_str"), classify(F.col("org"), F.col("hostnames"), F.col("domains"), F.col("ports"))["tier"].alias("tier"))
     flat = rows.join(tiers, ["date", "ip_str"])
     info = F.col("info") if "info" in flat.columns else F.lit(None).cast("string").alias("info")
+    time = F.col("timestamp").cast("timestamp_ntz") if strict else F.col("timestamp").try_cast("timestamp_ntz")
     return flat.select(
         "rec_id", "date", F.col("ip_str").alias("ip"), "port", "transport", F.col("asn").cast("string").alias("asn"), "org", "isp", "product", F.col("version").cast("string").alias("version"),
         joined(F.col("cpe23")).alias("cpe23"), F.col("_shodan.module").alias("service"), info, "city", F.col("location.region_code").alias("region_code"),
         joined(F.col("hostnames")).alias("hostnames"), joined(F.col("domains")).alias("domains"), joined(F.col("tags")).alias("tags"),
-        F.col("timestamp").try_cast("timestamp_ntz").alias("banner_ts"), F.coalesce(F.col("hash").cast("string"), F.lit("None")).alias("hash"), "tier",
+        time.alias("banner_ts"), F.coalesce(F.col("hash").cast("string"), F.lit("None")).alias("hash"), "tier",
     )
 
 
@@ -69,3 +70,15 @@ def keep_first(rows: DataFrame, within: list[str], ip: str = "ip_str", time: str
     key = F.coalesce(F.col("hash").cast("string"), F.concat_ws(":", part(ip), part("port"), part(time)))
     first = rows.select(*within, key.alias("key"), order).groupBy(*within, "key").agg(F.min(order).alias(order)).select(order)
     return rows.join(first, order, "left_semi")
+
+
+def merge_parts(parts: list[DataFrame], within: list[str], order: str = "rec_id") -> DataFrame:
+    """The union of what several queries brought, the first banner of each key in the parts' order; place tells the part.
+
+    A banner that several parts brought is kept from the first of them. ``order`` is unique within a part.
+    """
+    every = None
+    for i, part in enumerate(parts):
+        placed = part.withColumn("place", F.lit(i)).withColumn("_turn", F.struct(F.lit(i).alias("place"), F.col(order).alias("nth")))
+        every = placed if every is None else every.unionByName(placed, allowMissingColumns=True)
+    return keep_first(every, within, order="_turn").drop("_turn")

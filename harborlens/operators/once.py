@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlens.session import cut, scratch_path
+from harborlens.session import cut, file_system, replace_text, scratch_path
 
 KEY = "message"
 BITS_A_BITMAP = 32768
@@ -54,23 +54,12 @@ class SeenState:
     root: str
     buckets: int | None = None
 
-    def _path(self, name: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
     def _read(self, name: str) -> str:
-        fs, path = self._path(name)
+        fs, path = file_system(self.spark, f"{self.root}/{name}")
         return self.spark.read.text(f"{self.root}/{name}").head()[0] if fs.exists(path) else ""
 
     def _replace(self, name: str, text: str) -> None:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        fs, new = self._path(f"{name}.{uuid.uuid4().hex}")
-        out = fs.create(new, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(new, self._path(name)[1], options)
+        replace_text(self.spark, f"{self.root}/{name}", text)
 
     @property
     def table(self) -> str:
@@ -96,7 +85,7 @@ class SeenState:
         return self.spark.table(self.table)
 
     def has_codes(self) -> bool:
-        fs, path = self._path("dictionary")
+        fs, path = file_system(self.spark, f"{self.root}/dictionary")
         return fs.exists(path) and any(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(path))
 
     def deliveries(self) -> list[str]:

@@ -45,14 +45,39 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small text file by one rename, so that readers see the old text or the new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, new = file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(new, file_system(spark, path)[1], options)
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Renames a file or folder to a name that isn't taken; a rename that the file system refuses is an error."""
+    fs, source = file_system(spark, old)
+    target = file_system(spark, new)[1]
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"{old} was not moved to {new}")
+
+
 _made: list[tuple[object, object]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder. Results may still read from it, so it goes when the application ends, or by ``clear_scratch``."""
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    _made.append((p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p))
+    _made.append(file_system(spark, path))
     return path
 
 

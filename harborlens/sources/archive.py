@@ -2,15 +2,20 @@
 
 Defined cases
     * lines that are no JSON, and records without an address, are skipped; missing keys are null.
-    * backups are no archives; the day is that of the file name; a day written again replaces its file's folder only.
+    * backups are no archives; the day is that of the file name.
+    * a day written again keeps the file it replaces as ``<name>.backup.<seconds>``; a file that can't be moved is an error.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlens.functions.text import day_of_file
+from harborlens.session import file_system, move
 
 #: A fixed schema, so that no day is typed by what it happens to hold; a CVE's object stays text.
 BANNER = """ip_str string, port int, transport string, asn string, org string, isp string, product string, version string, info string,
@@ -33,18 +38,21 @@ def write_days(banners: DataFrame, folder: str) -> None:
 
     A day's rows meet in one task because the archive's format is one file a day.
     """
-    spark = banners.sparkSession
-    staged = f"{folder}/_staged"
-    rows = banners.withColumn("file", F.col("src_file")).repartition("file").sortWithinPartitions("file")
-    keep = [c for c in rows.columns if c not in ("src_file", "rec_id", "file", "date")]
-    rows.select("file", F.to_json(F.struct(*keep)).alias("value")).write.partitionBy("file").option("compression", "gzip").text(staged)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(staged)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for part in fs.listStatus(root):
-        name = part.getPath().getName()
-        if name.startswith("file="):
-            for file in fs.listStatus(part.getPath()):
-                if file.getPath().getName().endswith(".gz"):
-                    fs.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{name[5:]}"))
+    keep = [c for c in banners.columns if c not in ("src_file", "rec_id", "date")]
+    write_lines(banners.select("src_file", F.to_json(F.struct(*keep)).alias("value")), folder)
+
+
+def write_lines(lines: DataFrame, folder: str) -> None:
+    """src_file and value (a line) as gzipped files of those names. A file that is there already becomes a backup first."""
+    spark, staged = lines.sparkSession, f"{folder}/_staged-{uuid.uuid4().hex}"
+    rows = lines.select(F.col("src_file").alias("file"), "value").where("file is not null").repartition("file").sortWithinPartitions("file")
+    rows.write.partitionBy("file").option("compression", "gzip").text(staged)
+    fs, root = file_system(spark, staged)
+    for part in [p.getPath() for p in fs.listStatus(root) if p.getPath().getName().startswith("file=")]:
+        target = f"{folder}/{part.getName()[5:]}"
+        if fs.exists(file_system(spark, target)[1]):
+            move(spark, target, f"{target}.backup.{time.time_ns() // 1_000_000_000}.{uuid.uuid4().hex[:8]}")
+        for file in fs.listStatus(part):
+            if file.getPath().getName().endswith(".gz"):
+                move(spark, file.getPath().toString(), target)
     fs.delete(root, True)

@@ -10,10 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harborlens.session import file_system
+
+
+def keep(dimension: DataFrame, path: str) -> DataFrame:
+    """The dimension as a Parquet table of its own, so that its feed is parsed once and not with every day; replaced whole."""
+    dimension.coalesce(1).write.mode("overwrite").parquet(path)
+    return dimension.sparkSession.read.parquet(path)
+
 
 def _there(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
 
 
 def listed(spark: SparkSession, path: str) -> DataFrame:

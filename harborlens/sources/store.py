@@ -2,30 +2,45 @@
 
 Defined cases
     * writing a day replaces its partition; a day without rows loses its partition.
+    * a day is staged first and then takes the old one's place by renames; if that fails the old one is put back, so a reader
+      or a job that dies never leaves half a day.
     * a store without any day gives empty views with the tables' columns.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlens.operators.exposure import current_state, lifecycle
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def replace_day(rows: DataFrame, path: str, day: str) -> None:
-    """rows (without date) become the partition of the day."""
-    spark, target = rows.sparkSession, f"{path}/date={day}"
-    if rows.isEmpty():
-        fs, p = _fs(spark, target)
-        fs.delete(p, True)
-    else:
-        rows.drop("date").write.mode("overwrite").parquet(target)
+from harborlens.session import file_system as _fs
+from harborlens.session import move
+
+
+def replace_day(rows: DataFrame, path: str, day: str) -> int:
+    """rows (without date) become the partition of the day; computed once. Returns their number."""
+    spark, target, mark = rows.sparkSession, f"{path}/date={day}", uuid.uuid4().hex
+    staged, old = f"{path}/_staged-{mark}", f"{path}/_old-{mark}"  # names that readers skip
+    fs, goal = _fs(spark, target)
+    try:
+        rows.drop("date").write.parquet(staged)
+        n = spark.read.parquet(staged).count()  # from the footers
+        had = fs.exists(goal)
+        if had:
+            move(spark, target, old)
+        if n:
+            try:
+                move(spark, staged, target)
+            except BaseException:
+                if had:
+                    move(spark, old, target)
+                raise
+        fs.delete(_fs(spark, old)[1], True)
+        return n
+    finally:
+        fs.delete(_fs(spark, staged)[1], True)
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:

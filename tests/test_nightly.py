@@ -35,6 +35,15 @@ def test_ingest(spark, tmp_path):
     write(tmp_path / "archive" / "x-events-2025-01-01.json.gz", BANNERS[2:3])
     assert nightly.ingest(spark, settings, "2025-01-01") == {"observations": 0, "vulns": 0}
     assert store.read(spark, f"{settings.store}/observations", "ip string").isEmpty()
+    for day in ("2025-01-02", "2025-01-03", "2025-01-04"):
+        write(tmp_path / "archive" / f"x-events-{day}.json.gz", BANNERS if day != "2025-01-04" else BANNERS[:1] + [{"ip_str": "10.9.0.9", "timestamp": "no time"}])
+    assert nightly.run(spark, settings, ["2025-01-01", "2025-01-02", "2025-01-03", "2025-01-04", "2025-01-05"]) == {"2025-01-01": 2, "2025-01-02": 0, "2025-01-03": 0, "2025-01-04": 1, "2025-01-05": 2}
+    o = store.read(spark, f"{settings.store}/observations", "ip string")
+    ids = [(r.obs_id, r.date) for r in o.orderBy("obs_id").collect()]
+    assert len({i for i, _ in ids}) == 6 and [x for _, x in ids] == sorted(x for _, x in ids)  # unique over the days, in their order
+    nightly.run(spark, settings, ["2025-01-03"], keep_days=0)
+    assert nightly.run(spark, settings, ["2025-01-03"], keep_days=1) == {"2025-01-03": 0}
+    assert {str(r.date) for r in store.read(spark, f"{settings.store}/observations", "ip string").select("date").distinct().collect()} == {"2025-01-02", "2025-01-03"}
 
 
 def test_manifest(spark):

@@ -1,9 +1,12 @@
 import gzip
 import json
 from datetime import date
+from pathlib import Path
+
+import pytest
 
 from harborlens.operators import exposure
-from harborlens.sources import archive, feeds, store
+from harborlens.sources import archive, config, feeds, store
 
 
 def test_archive(spark, tmp_path):
@@ -26,6 +29,10 @@ def test_archive_round_trip(spark, tmp_path):
     archive.write_days(df, str(tmp_path / "out"))
     back = archive.read_days(spark, str(tmp_path / "out"))
     assert {(r.src_file, r.ip_str, r.port) for r in back.collect()} == {r[1:] for r in rows[:2]}
+    archive.write_days(df.where("rec_id = 1").withColumn("port", df.port + 1), str(tmp_path / "out"))  # a day again
+    assert {(r.src_file, r.port) for r in archive.read_days(spark, str(tmp_path / "out")).collect()} == {(rows[0][1], 81), (rows[1][1], 81)}
+    files = sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith("."))
+    assert len(files) == 3 and files[1].startswith("a-events-2025-01-01.json.gz.backup.")
 
 
 def test_feeds(spark, tmp_path):
@@ -54,6 +61,54 @@ def test_store(spark, tmp_path):
     assert store.read(spark, path, schema).isEmpty()
 
 
+def test_a_day_that_fails_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    one = spark.createDataFrame([("a", 1)], "ip string, port int")
+    assert store.replace_day(one, path, "2025-01-01") == 1
+    real = store.move
+
+    def refuses(spark, old, new):
+        if "_staged" in old:
+            raise OSError("full")
+        real(spark, old, new)
+
+    monkeypatch.setattr(store, "move", refuses)
+    with pytest.raises(OSError):
+        store.replace_day(one.unionAll(one), path, "2025-01-01")
+    with pytest.raises(Exception):  # noqa: B017
+        store.replace_day(one.selectExpr("raise_error(ip) as ip", "port"), path, "2025-01-01")
+    monkeypatch.undo()
+    assert store.read(spark, path, "ip string").count() == 1
+    assert [p.name for p in Path(path).iterdir()] == ["date=2025-01-01"]
+    assert store.replace_day(one.limit(0), path, "2025-01-01") == 0 and store.read(spark, path, "ip string").isEmpty()
+
+
+def test_settings_and_networks(tmp_path):
+    (tmp_path / ".env").write_text("# note\nA=1\nB = 'two' \nnothing\n=x\nC=a=b\n", encoding="utf-8")
+    env = config.load_settings(str(tmp_path / ".env"), {"A": "0"})
+    assert env == {"A": "0", "B": "two", "C": "a=b"} and config.load_settings(str(tmp_path / "none"), {}) == {}
+    assert config.networks_path(None, {}, str(tmp_path)) is None
+    for n in ("b.csv", "a.csv"):
+        (tmp_path / n).write_text("")
+    assert config.networks_path(None, {}, str(tmp_path)).endswith("a.csv")
+    assert config.networks_path("x", {"GEOIP_DB": "y"}, str(tmp_path)) == "x" and config.networks_path(None, {"GEOIP_DB": "y"}, str(tmp_path)) == "y"
+
+
+def test_feeds_are_kept(spark, tmp_path):
+    for n in (1, 2):
+        kept = feeds.keep(spark.createDataFrame([(f"CVE-{i}",) for i in range(n)], "cve string"), str(tmp_path / "kev"))
+    assert kept.count() == 2
+
+
+def test_parts_in_order(spark):
+    schema = "rec_id bigint, src_file string, ip_str string, port int, timestamp string, hash string"
+    first = spark.createDataFrame([(1, "f", "a", 1, "t", "h"), (2, "f", "b", 1, "t", None)], schema)
+    second = spark.createDataFrame([(1, "f", "a", 1, "t", "h"), (0, "f", "c", 1, "t", "h"), (3, "f", "b", 1, "t", None), (4, "f", "b", 2, "t", None), (5, "g", "a", 1, "t", "h")], schema)
+    got = {(r.place, r.rec_id) for r in exposure.merge_parts([first, second], ["src_file"]).collect()}
+    assert got == {(0, 1), (0, 2), (1, 4), (1, 5)}
+    assert exposure.merge_parts([first.limit(0)], ["src_file"]).isEmpty()
+
+
 def test_projection_edge_cases(spark):
     schema = "rec_id bigint, src_file string, " + archive.BANNER
     df = spark.createDataFrame([], schema)
