@@ -68,28 +68,34 @@ def _cast(value: Column, kind: str) -> Column:
     return F.when(~opens.isin("{", "["), text.try_cast(kind))
 
 
-def _fits(value: Column, kind: str) -> Column:
-    """Whether a JSON text already has the target's shape, without any change."""
+def _known(kind: str) -> list[str]:
+    return [f.name for f in StructType.fromDDL(kind[len("struct<") : -1]).fields]
+
+
+def _fitting(value: Column, plain: Column, kind: str) -> Column:
+    """The target value of what has the target's shape already, without any change; else null. plain: the value, a string without its quotes."""
     opens = F.substring(value, 1, 1)
     if kind == "array<string>":
-        return opens == "["
+        return F.when(opens == "[", F.from_json(value, kind))
     if kind.startswith("struct"):
-        known = [F.lit(f.name) for f in StructType.fromDDL(kind[len("struct<") : -1]).fields]
-        return (opens == "{") & (F.size(F.array_except(F.json_object_keys(value), F.array(*known))) == 0)
-    return opens == '"' if kind == "string" else value.rlike(r"^-?\d+$")
+        parts, names = F.from_json(value, "map<string,string>"), _known(kind)
+        given = F.transform(F.array(parts), lambda m: F.when(F.size(F.array_except(F.map_keys(m), F.array(*map(F.lit, names)))) == 0, F.struct(*[m[n].alias(n) for n in names])))
+        return F.when(opens == "{", given[0])
+    return F.when(opens == '"', plain) if kind == "string" else F.when(value.rlike(r"^-?\d+$"), value.try_cast(kind))
 
 
 def ingest(lines: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
     """src_file, line_no, the typed target columns, and ``rescued``: the other values, by field, as JSON text. One projection."""
     parsed = lines.select("src_file", "line_no", F.try_parse_json("record").alias("doc"), F.from_json("record", "map<string,string>").alias("plain")).where(F.schema_of_variant("doc").startswith("OBJECT"))
     each = F.map_filter(F.transform_values(F.try_variant_get("doc", "$", "map<string,variant>"), lambda k, v: F.to_json(v)), lambda k, v: v != "null")
-    # a variant drops the zero of 7.0, which tells versions apart
-    as_written = F.transform_values(each, lambda k, v: F.when(_json_kind(v) == "number", F.coalesce(F.col("plain")[k], v)).otherwise(v))
-    values = parsed.select("src_file", "line_no", as_written.alias("doc"))
-    typed = [F.when(_fits(F.col("doc")[n], kind), _cast(F.col("doc")[n], kind)).alias(n) for n, kind in target.items()]
-    out = values.select("src_file", "line_no", *typed, "doc")
+    values = parsed.select("src_file", "line_no", each.alias("doc"), "plain")
+    typed = [_fitting(F.col("doc")[n], F.col("plain")[n], kind).alias(n) for n, kind in target.items()]
+    out = values.select("src_file", "line_no", *typed, "doc", "plain")
     good = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in target]))
-    return out.withColumn("good", good).withColumn("rescued", F.map_filter("doc", lambda k, v: ~F.array_contains(F.col("good"), k))).drop("doc", "good")
+    rest = F.map_filter("doc", lambda k, v: ~F.array_contains(F.col("good"), k))
+    # a variant drops the zero of 7.0, which tells versions apart
+    as_written = F.transform_values(rest, lambda k, v: F.when(_json_kind(v) == "number", F.coalesce(F.col("plain")[k], v)).otherwise(v))
+    return out.withColumn("good", good).withColumn("rescued", as_written).drop("doc", "plain", "good")
 
 
 def _features(text: Column) -> Column:

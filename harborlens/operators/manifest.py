@@ -24,6 +24,12 @@ def status(complete_from: int = 90, suspect_above: int = 30) -> Column:
     return F.when(F.col("saved") == 0, 2).when(F.col("drop_pct") > suspect_above, 4).when(partial, 3).otherwise(0)
 
 
+def script_status(complete_from: int = 90) -> Column:
+    """The download script's: 1 the primary query brought nothing, 2 nothing kept, 3 partial, 0 complete."""
+    partial = (F.col("reported") != 0) & (F.col("pct") < complete_from)
+    return F.when(F.col("raw") == 0, 1).when(F.col("saved") == 0, 2).when(partial, 3).otherwise(0)
+
+
 def best_attempt(attempts: DataFrame, key: str) -> DataFrame:
     """key, attempt, saved of the attempt that saved most."""
     best = F.max(F.struct("saved", (-F.col("attempt")).alias("early")))

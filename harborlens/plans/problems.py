@@ -27,6 +27,22 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return nested.children(table(spark, folder, "daily_downloads"))
 
 
+def p3_location(spark: SparkSession, folder: str) -> DataFrame:
+    return nested.locations(table(spark, folder, "daily_downloads"))
+
+
+def p3_hostnames(spark: SparkSession, folder: str) -> DataFrame:
+    return nested.hostnames(table(spark, folder, "daily_downloads"))
+
+
+def p3_vulns(spark: SparkSession, folder: str) -> DataFrame:
+    return nested.vulns(table(spark, folder, "daily_downloads"))
+
+
+def p3_affected(spark: SparkSession, folder: str) -> DataFrame:
+    return nested.affected(table(spark, folder, "daily_downloads"))
+
+
 def p3_references(spark: SparkSession, folder: str) -> DataFrame:
     return nested.references(table(spark, folder, "daily_downloads")).withColumn("tags", F.array_join("tags", "|"))
 
@@ -91,7 +107,7 @@ def p7_profile(spark: SparkSession, folder: str) -> DataFrame:
     return skew.profile(table(spark, folder, "observations"), ["org", "asn"], "port", "ip")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_references, p3_ranges, p4_found, p5_found, p5_history, p5_complete, p6_found, p6_table, p6_proposals, p7_found, p7_profile)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_location, p3_hostnames, p3_vulns, p3_affected, p3_references, p3_ranges, p4_found, p5_found, p5_history, p5_complete, p6_found, p6_table, p6_proposals, p7_found, p7_profile)}
 
 _MESSAGES = """m as (select obs_id, ip,
     case when hash is null or trim(hash) = 'None' then port end as p,
@@ -157,6 +173,14 @@ union all select rec_id, 'vulns', cve from cves
 union all select rec_id, 'references', cve || '/' || i from refs where json_type(t, '$.references[' || i || ']') = 'OBJECT'
 union all select rec_id, 'affected', cve || '/' || i from aff
 union all select rec_id, 'ranges', cve || '/' || i || '/' || j from rng where json_type(t, '$.affected[' || i || '].ranges[' || j || ']') = 'OBJECT'""",
+    "p3_location": "select rec_id, location.city as city, location.region_code as region_code, location.country_code as country_code from daily_downloads where coalesce(location.city, location.region_code, location.country_code) is not null",
+    "p3_hostnames": "select rec_id, place, hostname from (select rec_id, unnest(hostnames) as hostname, unnest(range(cast(len(hostnames) as bigint))) as place from daily_downloads) where hostname <> ''",
+    "p3_vulns": """with v as (select rec_id, unnest(map_keys(vulns)) as cve, unnest(map_values(vulns)) as detail from daily_downloads),
+o as (select *, case when json_valid(detail) and json_type(detail) = 'OBJECT' then detail end as t from v)
+select rec_id, cve, try_cast(json_extract_string(t, '$.cvss') as double) as cvss, try_cast(json_extract_string(t, '$.verified') as boolean) as verified, detail from o""",
+    "p3_affected": f"""with {_CVES},
+aff as (select rec_id, cve, i, json_extract(t, '$.affected[' || i || ']') as e from (select rec_id, cve, t, unnest(range(cast(json_array_length(t, '$.affected') as bigint))) as i from texts where json_type(t, '$.affected') = 'ARRAY'))
+select rec_id, cve, i as place, json_extract_string(e, '$.product') as product from aff where json_type(e) = 'OBJECT'""",
     "p3_references": f"""with {_CVES},
 refs as (select rec_id, cve, t, unnest(range(cast(json_array_length(t, '$.references') as bigint))) as i from texts where json_type(t, '$.references') = 'ARRAY'),
 one as (select rec_id, cve, i, json_extract(t, '$.references[' || i || ']') as e from refs)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,15 +12,19 @@ from pyspark.sql.window import Window
 from harborlens.operators import classify as C
 from harborlens.operators import exposure, geo, hosts, manifest, shards, tripwire
 from harborlens.plans.reference_sql import ORACLE  # noqa: F401
+from harborlens.session import scratch_path
+from harborlens.sources import archive
 from harborlens.sources.tables import table
+from harborlens.streaming.tripwire import stream_ledger
 
 TARGET, REGION_NAME = ("QX", "QA"), "county"
 NETWORKS = [
     ("10.0.0.0/17", "QX", "QA"), ("10.0.128.0/17", "QX", "QB"), ("10.1.0.0/16", "QX", "QA"), ("10.1.64.0/18", "QX", "QC"), ("10.2.0.0/18", "QY", "QA"),
     ("2001:db8:1::/48", "QX", "QA"), ("2001:db8::/32", "QX", "QD"),
 ]
-SELECTORS = ["honeypot", "proxy"]
-SHARD_THRESHOLD, RETENTION_DAYS, TOP_HOSTS, HONEYPOT_PORTS = 200, 30, 15, 3
+SELECTORS = tripwire.Selectors(tags=("honeypot", "proxy"))
+MIXED = tripwire.Selectors(tags=("honeypot",), categories=("malware",), queries=("port = 502", "no_such_column = 1"))
+SHARD_THRESHOLD, RETENTION_DAYS, TOP_HOSTS = 200, 30, 15
 QUERIES: dict = {}
 SERVICE = ["ip", "port"]
 
@@ -45,13 +50,9 @@ def state(s: SparkSession, d: str, *columns: str) -> DataFrame:
     return exposure.current_state(observations(s, d), [*SERVICE, "date", *columns])
 
 
-def last_day(s: SparkSession, d: str) -> DataFrame:
-    """One row with the latest date, for a broadcast."""
-    return observations(s, d).agg(F.max("date").alias("last_date"))
-
-
-def with_last(df: DataFrame, s: SparkSession, d: str, on: Column) -> DataFrame:
-    return df.join(F.broadcast(last_day(s, d)), on).drop("last_date")
+def last_day(s: SparkSession, d: str) -> Column:
+    """The latest date, as a scalar subquery."""
+    return observations(s, d).agg(F.max("date")).scalar()
 
 
 @query
@@ -102,20 +103,27 @@ def q2_top_kev(s, d):
 @query
 def q3_new_exposures(s, d):
     seen = exposure.lifecycle(observations(s, d)).select(*SERVICE, F.col("first_seen").alias("date"))
-    latest = with_last(observations(s, d), s, d, F.col("date") == F.col("last_date"))
+    latest = observations(s, d).where(F.col("date") == last_day(s, d))
     return latest.join(seen, [*SERVICE, "date"]).select("tier", "ip", "org", "city", "port", "product").orderBy(F.asc_nulls_last("tier"), "ip", "port", "product")
 
 
+@query
+def new_exposures_by_day(s, d):
+    """As q3, for every day: the services whose first day it is."""
+    seen = exposure.lifecycle(observations(s, d)).select(*SERVICE, F.col("first_seen").alias("date"))
+    return observations(s, d).join(seen, [*SERVICE, "date"]).select("date", "tier", "ip", "org", "city", "port", "product")
+
+
 @query
 def q4_longest_open(s, d):
-    open_ = with_last(exposure.lifecycle(observations(s, d)), s, d, F.col("last_seen") == F.col("last_date"))
+    open_ = exposure.lifecycle(observations(s, d)).where(F.col("last_seen") == last_day(s, d))
     both = open_.join(state(s, d, "tier", "org", "product").drop("date"), SERVICE)
     return both.select("ip", "port", "first_seen", "last_seen", "span_days", "tier", "org", "product").orderBy(F.desc("span_days"), "first_seen", "ip", "port").limit(25)
 
 
 @query
 def q5_remediated(s, d):
-    gone = with_last(exposure.lifecycle(observations(s, d)), s, d, F.col("last_seen") < F.col("last_date"))
+    gone = exposure.lifecycle(observations(s, d)).where(F.col("last_seen") < last_day(s, d))
     return gone.select("ip", "port", "first_seen", F.col("last_seen").alias("last_seen_before_gone")).orderBy(F.desc("last_seen"), "ip", F.asc_nulls_last("port")).limit(25)
 
 
@@ -129,7 +137,7 @@ def q6_org_rollup(s, d):
 @query
 def q7_ics_latest(s, d):
     rows = observations(s, d).where(F.col("port").isin(C.ICS_QUERY_PORTS))
-    return with_last(rows, s, d, F.col("date") == F.col("last_date")).select("date", "ip", "org", "city", "port", "product").orderBy(F.asc_nulls_last("org"), "ip", "port", "product")
+    return rows.where(F.col("date") == last_day(s, d)).select("date", "ip", "org", "city", "port", "product").orderBy(F.asc_nulls_last("org"), "ip", "port", "product")
 
 
 @query
@@ -159,6 +167,22 @@ def gated_dedup(s, d):
     return exposure.keep_first(kept, ["src_file"]).select("rec_id", "src_file")
 
 
+@query
+def two_query_union(s, d):
+    """The primary query's banners in the target, then the rescue query's by name; the first of each key in the day's file stays."""
+    gated = _gated(s, d).withColumnRenamed("ip", "ip_str")
+    rescued = gated.where(F.lower(F.coalesce("org", F.lit(""))).contains(REGION_NAME))
+    return exposure.merge_parts([gated.where("keep_primary"), rescued], ["src_file"]).select("rec_id", "src_file", "place")
+
+
+@query
+def merged_parts(s, d):
+    """The parts of a day in the order they were asked for, without a gate: udp before tcp before the rest."""
+    rows = banners(s, d)
+    parts = [rows.where("transport = 'udp'"), rows.where("transport = 'tcp'"), rows.where("coalesce(transport, '') not in ('udp', 'tcp')")]
+    return exposure.merge_parts(parts, ["src_file"]).select("rec_id", "src_file", "place")
+
+
 @query
 def geo_range_join(s, d):
     return geo.locate(observations(s, d).select("ip").distinct(), networks(s))
@@ -199,22 +223,22 @@ def first_truthy_org(s, d):
 
 @query
 def honeypot_guard(s, d):
-    return hosts.without_honeypots(host_frame(s, d), HONEYPOT_PORTS).select("date", "ip", "n_ports")
+    return hosts.without_honeypots(host_frame(s, d)).select("date", "ip", "n_ports")
 
 
-def _classified(s, d) -> DataFrame:
-    h = host_frame(s, d)
+def _classified(h: DataFrame) -> DataFrame:
     tier = C.classify(F.col("org"), F.col("hostnames"), F.col("domains"), F.col("ports"))
     return h.select(*h.columns, F.inline(F.array(tier)))  # a generator, so that the cascade runs once for both columns
 
 
 @query
 def tier_classify(s, d):
-    return _classified(s, d).select("date", "ip", "tier", "reason")
+    return _classified(host_frame(s, d)).select("date", "ip", "tier", "reason")
 
 
 def _scored(s, d) -> DataFrame:
-    h = _classified(s, d)
+    """Hosts with their scores; honeypots are left out of what is reported."""
+    h = _classified(hosts.without_honeypots(host_frame(s, d)))
     cves = exposure.enrich(h.select("date", "ip", F.explode("cves").alias("cve")), kev(s, d), epss(s, d), F.lit(0.0))
     per_host = cves.groupBy("date", "ip").agg(F.count_if("in_kev").alias("n_kev"), F.max("epss").alias("max_epss"))
     names = {"ics": C.ICS_PORTS, "admin": C.ADMIN_PORTS, "dbs": C.DB_PORTS}
@@ -250,15 +274,15 @@ def topn_per_tier(s, d):
 
 
 def _hits(s, d) -> DataFrame:
-    return tripwire.flagged(observations(s, d), SELECTORS, ["date"])
+    return tripwire.flagged(tripwire.from_observations(observations(s, d)), SELECTORS, ["date"])
 
 
 def _run(s, d) -> tuple[DataFrame, DataFrame]:
     """The last day's hits, and the ledger before it: what all earlier days together leave."""
-    hits = _hits(s, d).join(F.broadcast(last_day(s, d)))
-    before = hits.where("date < last_date")
-    previous = before.agg(F.max("date").alias("previous"))
-    return hits.where("date = last_date").drop("last_date"), _ledger(before.drop("last_date")).join(F.broadcast(previous)).withColumn("active", F.col("last_seen") == F.col("previous")).drop("previous")
+    hits = _hits(s, d)
+    before = hits.where(F.col("date") < last_day(s, d))
+    ledger = _ledger(before).withColumn("active", F.col("last_seen") == before.agg(F.max("date")).scalar())
+    return hits.where(F.col("date") == last_day(s, d)), ledger
 
 
 def _ledger(hits: DataFrame) -> DataFrame:
@@ -278,7 +302,7 @@ def selector_union(s, d):
 def _status(name: str):
     def run(s, d):
         hits, ledger = _run(s, d)
-        return tripwire.status(hits, ledger).where(F.col("status") == name).select("ip")
+        return tripwire.status(hits, ledger).where(F.col("status") == name).select("ip").orderBy("ip")
 
     run.__name__ = f"ledger_{name}"
     return query(run)
@@ -288,11 +312,60 @@ for _name in ("new", "ongoing", "cleared"):
     _status(_name)
 
 
+@query
+def ledger_by_day(s, d):
+    """What the ledger reports on every collection day, from the first to the last."""
+    return tripwire.statuses_by_run(_hits(s, d), observations(s, d).select("date")).orderBy("date", "status", "ip")
+
+
 @query
 def ledger_roll_forward(s, d):
     hits, ledger = _run(s, d)
-    run = F.lit(hits.agg(F.max("date")).head()[0])
-    return _text(tripwire.roll(ledger, hits, run), "selectors")
+    return _text(tripwire.roll(ledger, hits, last_day(s, d)), "selectors")
+
+
+@query
+def ledger_job(s, d):
+    """The watch as a batch job of the last four days, one after the other on a saved ledger; the ledger it leaves."""
+    days = [r.date for r in observations(s, d).select("date").distinct().orderBy(F.desc("date")).limit(4).collect()]
+    ledger = tripwire.Ledger(s, scratch_path(s, "watch"))
+    rows = tripwire.from_observations(observations(s, d))
+    for day in sorted(days):
+        tripwire.watch(rows.where(F.col("date") == day), SELECTORS, ledger, str(day))
+    return _text(ledger.read(), "selectors")
+
+
+def _banner_rows(s, d) -> DataFrame:
+    located = geo.locate(exposure.with_city(banners(s, d)).withColumnRenamed("ip_str", "ip"), networks(s)).withColumnRenamed("ip", "ip_str")
+    return tripwire.gated(tripwire.from_banners(located), TARGET).withColumn("categories", F.array("product"))
+
+
+@query
+def selector_kinds(s, d):
+    """Hits of banners in the target by tag, category (of the product here) and free condition; a condition on an unknown column is skipped."""
+    hits = tripwire.flagged(_banner_rows(s, d), replace(MIXED, categories=("Ledgerkeep cache",)), ["date"])
+    return _text(hits.select("date", "ip", "selectors", "ports", "tags", "hostnames", "cves", "n_hits"), "selectors", "ports", "tags", "hostnames", "cves")
+
+
+@query
+def selector_counts(s, d):
+    return tripwire.counts(_banner_rows(s, d), replace(MIXED, categories=("Ledgerkeep cache",)))
+
+
+@query
+def hit_archive(s, d):
+    """Lines of the hit archive, one per banner and selector, counted by selector."""
+    lines = tripwire.archive_lines(tripwire.from_banners(exposure.with_city(banners(s, d))), SELECTORS, "hits-2025-01-01.json.gz")
+    folder = scratch_path(s, "hits")
+    archive.write_lines(lines, folder)
+    return s.read.json(folder).groupBy(F.col("_selector").alias("selector")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("obs_id").alias("banners"))
+
+
+@query
+def alert_lines(s, d):
+    """The alert of the last day, in its order."""
+    hits, ledger = _run(s, d)
+    return tripwire.alert(hits, ledger, tripwire.roll(ledger, hits, last_day(s, d)), last_day(s, d))
 
 
 @query
@@ -303,7 +376,8 @@ def staleness_days(s, d):
 
 @query
 def host_summary_line(s, d):
-    return _hits(s, d).select("date", "ip", tripwire.summary(F.col("ip"), F.col("org"), F.col("city"), F.col("selectors"), F.col("ports")).alias("line"))
+    hits = tripwire.flagged(tripwire.from_banners(exposure.with_city(banners(s, d))), SELECTORS, ["date"])
+    return hits.select("date", "ip", tripwire.summary().alias("line"))
 
 
 @query
@@ -336,6 +410,12 @@ def day_status(s, d):
     return _manifest(s, d).select("src_file", manifest.status().alias("status"))
 
 
+@query
+def script_status(s, d):
+    """A file's status as the download script gives it."""
+    return _manifest(s, d).select("src_file", manifest.script_status().alias("status"))
+
+
 @query
 def daily_window(s, d):
     """Banners per collection day within the open window of one day around it, and outside."""
@@ -375,22 +455,29 @@ def grand_totals(s, d):
 
 @query
 def retention_filter(s, d):
-    return with_last(observations(s, d), s, d, F.col("date") > F.date_sub("last_date", RETENTION_DAYS)).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    return observations(s, d).where(F.col("date") > F.date_sub(last_day(s, d), RETENTION_DAYS)).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def tripwire_stream(s, d):
-    from harborlens.streaming.tripwire import stream_ledger
-
     return stream_ledger(s, f"{d}/observations.parquet", SELECTORS)
 
 
+@query
+def tripwire_stream_resumed(s, d):
+    """The same from files that land in two parts and are read in several batches, the second run taking up the first one's state."""
+    rows = observations(s, d).select("obs_id", "date", "ip", "port", "org", "city", "tags", "banner_ts").withColumn("part", F.pmod(F.unix_date("date"), F.lit(4)))
+    inbox, state_folder = scratch_path(s, "inbox"), scratch_path(s, "ledger")
+    for part in (0, 2):
+        for i in (part, part + 1):
+            rows.where(F.col("part") == i).drop("part").coalesce(2).write.mode("append").parquet(inbox)
+        out = stream_ledger(s, inbox, SELECTORS, state_folder, files_a_batch=1)
+    return out
+
+
 @query
 def json_archive_roundtrip(s, d):
     """Banners written as daily archives of JSON lines and read back through the archive source: rows and hosts per day."""
-    from harborlens.session import scratch_path
-    from harborlens.sources import archive
-
     folder = scratch_path(s, "archive")
     archive.write_days(banners(s, d), folder)
     back = archive.read_days(s, folder)

@@ -60,12 +60,32 @@ _SCORE = f"""with {_HOSTS}, {_CLASSIFY},
 e as (select date, ip, count(*) filter (where cve in (select cve from kev_list)) as n_kev, max(coalesce(epss, 0.0)) as max_epss
     from (select date, ip, unnest(cves) as cve from h) left join epss_scores using (cve) group by date, ip),
 s0 as (select k.*, coalesce(n_kev, 0) as n_kev, coalesce(max_epss, 0.0) as max_epss, list_sort({_ports(C.ICS_PORTS)}) as ics, list_sort({_ports(C.ADMIN_PORTS)}) as admin, list_sort({_ports(C.DB_PORTS)}) as dbs
-    from k left join e using (date, ip)),
+    from k left join e using (date, ip) where n_ports <= 100),
 s as (select *, cast(n_kev * 100 + len(ics) * 40 + len(admin) * 15 + len(dbs) * 25 + trunc(max_epss * 50) as bigint) as score from s0)"""
 
-_HITS = """hits0 as (select *, unnest(list_distinct(list_filter(string_split(tags, ','), lambda x: x in ('honeypot', 'proxy')))) as selector from observations),
-hits as (select date, ip, list_sort(list(distinct 'tag:' || selector)) as selectors, coalesce(list_sort(list(distinct port) filter (where port is not null)), []) as ports,
-    arg_min(org, obs_id) filter (where org <> '') as org, arg_min(city, obs_id) filter (where city <> '') as city, max(banner_ts) as banner_ts, count(*) as n_hits from hits0 group by date, ip)"""
+
+
+def _merged(source: str, name: str) -> str:
+    """Hosts merged from hits: date, ip, nth, label, obs_id, port, org, city, tags, hostnames, cves, banner_ts."""
+    listed = lambda c: f"{name}_{c} as (select date, ip, list_sort(list(distinct x)) as {c} from (select date, ip, unnest({c}) as x from {source}) where x is not null group by date, ip)"
+    return f"""{listed("tags")}, {listed("cves")},
+{name}_names as (select date, ip, list(x order by k) as hostnames from (select date, ip, x, min(nth * 1000000000000000 + obs_id * 1000 + place) as k
+    from (select date, ip, nth, obs_id, unnest(hostnames) as x, generate_subscripts(hostnames, 1) as place from {source}) where x is not null group by date, ip, x) group by date, ip),
+{name} as (select m.*, coalesce(t.tags, []) as tags, coalesce(c.cves, []) as cves, coalesce(n.hostnames, []) as hostnames from (
+    select date, ip, list_sort(list(distinct label)) as selectors, coalesce(list_sort(list(distinct port) filter (where port is not null)), []) as ports,
+        arg_min(org, nth * 1000000000000 + obs_id) filter (where org <> '') as org, arg_min(city, nth * 1000000000000 + obs_id) filter (where city <> '') as city,
+        max(banner_ts) as banner_ts, count(*) as n_hits from {source} group by date, ip) m
+    left join {name}_tags t using (date, ip) left join {name}_cves c using (date, ip) left join {name}_names n using (date, ip))"""
+
+
+_TWO = "(values (0, 'honeypot'), (1, 'proxy')) s(nth, tag)"
+_HITS = f"""hits0 as (select o.* exclude (tags, hostnames), nth, 'tag:' || tag as label, list_filter(string_split(coalesce(o.tags, ''), ','), lambda x: x <> '') as tags,
+    list_filter(string_split(coalesce(o.hostnames, ''), ','), lambda x: x <> '') as hostnames, cast([] as varchar[]) as cves from observations o join {_TWO} on list_contains(string_split(o.tags, ','), tag)),
+{_merged("hits0", "hits")}"""
+_BANNER_ROWS = f"select d.* exclude (tags), ip_str as ip, {_DAY} as date, rec_id as obs_id, location.city as city, coalesce(map_keys(vulns), []) as cves, try_cast(timestamp as timestamp) as banner_ts, list_filter(coalesce(d.tags, []), lambda x: x is not null) as tags"
+_LINE = """case when length(ip) >= 39 then ip else lpad(ip, 39, ' ') end || '  ' || rpad(substring(coalesce(nullif(org, ''), '?'), 1, 28), 28, ' ') || '  ' ||
+    rpad(substring(coalesce(nullif(city, ''), '?'), 1, 14), 14, ' ') || '  tags[' || coalesce(nullif(array_to_string(tags, ','), ''), '-') || ']  ports[' || array_to_string(ports, ',') ||
+    ']  matched[' || array_to_string(selectors, ',') || ']  host[' || coalesce(hostnames[1], '') || ']  cves[' || coalesce(nullif(array_to_string(cves[1:5], ','), ''), '-') || ']'"""
 _RUN = f"""{_HITS}, now as (select * from hits where date = {_LAST}), before as (select * from hits where date < {_LAST}),
 active as (select ip from before where date = (select max(date) from before))"""
 
@@ -89,6 +109,11 @@ m0 as (select src_file, coalesce(reported, 0) as reported, coalesce(raw, 0) as r
 m as (select *, case when reported = 0 then 100 else raw * 100 // reported end as pct, case when raw = 0 then 0 else dropped * 100 // raw end as drop_pct from m0)"""
 _ON = "v.ip = cs.ip and v.port = cs.port and v.date = cs.date"
 _PIPE = "array_to_string({0}, '|') as {0}"
+_LEDGER = """select ip, min(date) as first_seen, max(date) as last_seen, array_to_string(list_sort(list_distinct(flatten(list(selectors)))), '|') as selectors,
+    arg_max(banner_ts, date) filter (where banner_ts is not null) as last_banner_ts"""
+_KINDS = f"""{_GATES}, sel as (select * from (values (0, 'tag:honeypot'), (1, 'category:Ledgerkeep cache'), (2, 'port = 502')) s(nth, label)),
+kept as ({_BANNER_ROWS} from (select * from g where keep_primary and ip_str <> '') d),
+kinds0 as (select kept.*, nth, label from kept join sel on (nth = 0 and list_contains(tags, 'honeypot')) or (nth = 1 and product = 'Ledgerkeep cache') or (nth = 2 and port = 502))"""
 
 ORACLE = {
     "obs_projection": f"""with {_HOSTS}, {_CLASSIFY}
@@ -108,6 +133,7 @@ select cs.tier, count(*) as host_services, count(distinct cs.ip) as unique_hosts
 select distinct cs.tier, cs.ip, cs.org, cs.city, cs.port, v.cve, v.cvss, v.epss from cs join vulns v on {_ON} where v.in_kev and cs.tier in ('critical_infrastructure', 'government', 'education'))
 order by epss desc nulls last, cvss desc nulls last, ip, port, cve limit 25""",
     "q3_new_exposures": f"with {_LIFE} select o.tier, o.ip, o.org, o.city, o.port, o.product from observations o join lc l on l.ip = o.ip and l.port = o.port where o.date = {_LAST} and l.first_seen = o.date",
+    "new_exposures_by_day": f"with {_LIFE} select o.date, o.tier, o.ip, o.org, o.city, o.port, o.product from observations o join lc l on l.ip = o.ip and l.port = o.port and l.first_seen = o.date",
     "q4_longest_open": f"""with {_STATE}, {_LIFE} select l.ip, l.port, l.first_seen, l.last_seen, l.span_days, cs.tier, cs.org, cs.product from lc l join cs on cs.ip = l.ip and cs.port = l.port
 where l.last_seen = {_LAST} order by l.span_days desc, l.first_seen, l.ip, l.port limit 25""",
     "q5_remediated": f"with {_LIFE} select ip, port, first_seen, last_seen as last_seen_before_gone from lc where last_seen < {_LAST} order by last_seen desc, ip, port nulls last limit 25",
@@ -118,13 +144,17 @@ from cs left join vulns v on {_ON} group by cs.org, cs.tier having count(distinc
     "geo_gate_primary": f"{_GATES} select rec_id, in_target, keep_primary, keep_primary_alone from g",
     "geo_gate_store": f"{_GATES} select rec_id, keep_store, true as keep_rescue, true as keep_tripwire_alone from g",
     "gated_dedup": f"{_GATES} select rec_id, src_file from (select *, row_number() over (partition by src_file, {_KEY} order by rec_id) as r from g where keep_primary) where r = 1",
+    "two_query_union": f"""{_GATES}, u as (select *, 0 as place from g where keep_primary union all select *, 1 from g where contains(lower(coalesce(org, '')), 'county'))
+select rec_id, src_file, place from (select *, row_number() over (partition by src_file, {_KEY} order by place, rec_id) as r from u) where r = 1""",
+    "merged_parts": f"""with u as (select *, case transport when 'udp' then 0 when 'tcp' then 1 else 2 end as place from daily_downloads)
+select rec_id, src_file, place from (select *, row_number() over (partition by src_file, {_KEY} order by place, rec_id) as r from u) where r = 1""",
     "geo_range_join": f"with addresses as (select distinct ip from observations), {_LOCATED} select a.ip, country, region from addresses a left join loc on loc.ip = a.ip",
     "kev_membership": "select distinct cve, cve in (select cve from kev_list) as in_kev from vulns",
     "epss_lookup_null": "select distinct v.cve, e.epss from vulns v left join epss_scores e on e.cve = v.cve",
     "epss_lookup_zero": "select distinct v.cve, coalesce(e.epss, 0.0) as epss from vulns v left join epss_scores e on e.cve = v.cve",
     "host_aggregate": f"with {_HOSTS} select date, ip, org, city, n_banners, n_ports, {', '.join(_PIPE.format(c) for c in ('ports', 'products', 'hostnames', 'domains', 'cves'))} from h",
     "first_truthy_org": f"with {_HOSTS} select date, ip, org, city from h",
-    "honeypot_guard": f"with {_HOSTS} select date, ip, n_ports from h where n_ports <= 3",
+    "honeypot_guard": f"with {_HOSTS} select date, ip, n_ports from h where n_ports <= 100",
     "tier_classify": f"with {_HOSTS}, {_CLASSIFY} select date, ip, tier, reason from k",
     "actionability_score": f"{_SCORE} select date, ip, n_kev, round(max_epss, 3) as epss, len(cves) as n_cves, score, array_to_string(products[1:3], '|') as products from s",
     "port_protocol_lookup": f"{_SCORE} select date, ip, {', '.join(_PIPE.format(c) for c in ('ics', 'admin', 'dbs'))} from s",
@@ -136,13 +166,23 @@ from spine left join s on s.tier = spine.tier group by spine.tier""",
     "ledger_new": f"with {_RUN} select ip from now where ip not in (select ip from before)",
     "ledger_ongoing": f"with {_RUN} select ip from now where ip in (select ip from before)",
     "ledger_cleared": f"with {_RUN} select ip from active where ip not in (select ip from now)",
-    "ledger_roll_forward": f"""with {_HITS}, each as (select *, unnest(selectors) as selector from hits)
-select hits.ip, min(hits.date) as first_seen, max(hits.date) as last_seen, any_value(u.selectors) as selectors, arg_max(banner_ts, hits.date) filter (where banner_ts is not null) as last_banner_ts,
-    max(hits.date) = {_LAST} as active from hits join (select ip, array_to_string(list_sort(list(distinct selector)), '|') as selectors from each group by ip) u on u.ip = hits.ip group by hits.ip""",
+    "ledger_by_day": f"""with {_HITS}, runs as (select date, row_number() over (order by date) as n from (select distinct date from observations)),
+e as (select ip, n, lead(n) over w as following, row_number() over w as r from hits join runs using (date) window w as (partition by ip order by n))
+select date, ip, case when r = 1 then 'new' else 'ongoing' end as status from e join runs using (n)
+union all select runs.date, ip, 'cleared' from e join runs on runs.n = e.n + 1 where following is null or following > e.n + 1""",
+    "ledger_job": f"""with {_HITS}, days as (select distinct date from observations order by date desc limit 4) {_LEDGER}, max(date) = {_LAST} as active from hits where date in (select date from days) group by ip""",
+    "selector_kinds": f"{_KINDS}, {_merged('kinds0', 'm')} select date, ip, {', '.join(_PIPE.format(c) for c in ('selectors', 'ports', 'tags', 'hostnames', 'cves'))}, n_hits from m",
+    "selector_counts": f"{_KINDS} select label as selector, (select count(*) from kinds0 k where k.label = sel.label) as n from sel union all select 'no_such_column = 1', null",
+    "hit_archive": f"with b0 as ({_BANNER_ROWS} from daily_downloads d where ip_str <> '') select 'tag:' || tag as selector, count(*) as n, count(distinct obs_id) as banners from b0 join {_TWO} on list_contains(tags, tag) group by tag",
+    "alert_lines": f"""with {_RUN}, firsts as (select ip, min(date) as first_seen, arg_max(banner_ts, date) filter (where banner_ts is not null) as ts from hits group by ip),
+note as (select *, case when date_diff('day', ts::date, {_LAST}) >= 2 then '  (last scanned ' || strftime(ts, '%Y-%m-%d') || ', ' || date_diff('day', ts::date, {_LAST}) || 'd ago — cached view)' else '' end as n from firsts)
+select case when ip in (select ip from before) then 1 else 0 end as place, ip,
+    rpad(case when ip in (select ip from before) then '[ongoing since ' || first_seen || ']' else '[NEW]' end, 28, ' ') || ' ' || {_LINE} || n as line from now join note using (ip)
+union all select 2, ip, rpad('[CLEARED]', 28, ' ') || ' ' || ip || ' — no longer flagged' from active where ip not in (select ip from now)""",
+    "ledger_roll_forward": f"with {_HITS} {_LEDGER}, max(date) = {_LAST} as active from hits group by ip",
     "staleness_days": f"""with {_HITS}, z as (select *, date_diff('day', cast(banner_ts as date), date) as days from hits)
 select date, ip, days, case when days >= 2 then '  (last scanned ' || strftime(banner_ts, '%Y-%m-%d') || ', ' || days || 'd ago — cached view)' else '' end as note from z""",
-    "host_summary_line": f"""with {_HITS} select date, ip, case when length(ip) >= 39 then ip else lpad(ip, 39, ' ') end || '  ' || rpad(substring(coalesce(nullif(org, ''), '?'), 1, 28), 28, ' ') || '  ' ||
-    rpad(substring(coalesce(nullif(city, ''), '?'), 1, 14), 14, ' ') || '  ports[' || array_to_string(ports, ',') || ']  matched[' || array_to_string(selectors, ',') || ']' as line from hits""",
+    "host_summary_line": f"with b0 as ({_BANNER_ROWS} from daily_downloads d where ip_str <> ''), b1 as (select b0.*, nth, 'tag:' || tag as label from b0 join {_TWO} on list_contains(tags, tag)), {_merged('b1', 'm')} select date, ip, {_LINE} as line from m",
     "cidr_leaves": f"""with a as (select {_IPV4} as n, count(*) as c from observations where ip like '%.%' group by 1),
 t as (select substring(lpad(bin(n), 32, '0'), 1, len) as prefix, len as length, cast(sum(c) as bigint) as n from a, (select cast(unnest(range(1, 33)) as int) as len) group by 1, 2)
 select t.prefix, t.length, t.n from t left join t p on p.length = t.length - 1 and p.prefix = substring(t.prefix, 1, t.length - 1)
@@ -153,11 +193,11 @@ k as (select c, array_to_string(list_transform(list_concat(list_concat(a, list_r
 t as (select substring(bits, 1, len) as prefix, len as length, cast(sum(c) as bigint) as n from k, (select cast(unnest(range(3, 129)) as int) as len) where bits like '001%' group by 1, 2)
 select t.prefix, t.length, t.n from t left join t p on p.length = t.length - 1 and p.prefix = substring(t.prefix, 1, t.length - 1)
 where (t.n <= 200 or t.length = 128) and (t.length = 3 or p.n > 200)""",
-    "tripwire_stream": f"""with {_HITS}, each as (select *, unnest(selectors) as selector from hits)
-select hits.ip, min(hits.date) as first_seen, max(hits.date) as last_seen, any_value(u.selectors) as selectors, arg_max(banner_ts, hits.date) filter (where banner_ts is not null) as last_banner_ts,
-    max(hits.date) = (select max(date) from hits) as active from hits join (select ip, array_to_string(list_sort(list(distinct selector)), '|') as selectors from each group by ip) u on u.ip = hits.ip group by hits.ip""",
+    "tripwire_stream": f"with {_HITS} {_LEDGER}, max(date) = (select max(date) from hits) as active from hits group by ip",
+    "tripwire_stream_resumed": f"with {_HITS} {_LEDGER}, max(date) = (select max(date) from hits) as active from hits group by ip",
     "completeness_manifest": f"{_MANIFEST} select src_file, reported, raw, dropped, saved, pct, drop_pct from m",
     "day_status": f"{_MANIFEST} select src_file, case when saved = 0 then 2 when drop_pct > 30 then 4 when reported > 0 and pct < 90 then 3 else 0 end as status from m",
+    "script_status": f"{_MANIFEST} select src_file, case when raw = 0 then 1 when saved = 0 then 2 when reported <> 0 and pct < 90 then 3 else 0 end as status from m",
     "daily_window": """select date, count(*) filter (where cast(banner_ts as date) > date - 1 and cast(banner_ts as date) < date + 1) as inside,
     count(*) filter (where not (cast(banner_ts as date) > date - 1 and cast(banner_ts as date) < date + 1)) as outside, count(*) filter (where banner_ts is null) as untimed from observations group by date""",
     "report_summary": """select asn, count(distinct ip) as hosts, count(distinct (ip, port)) as services, count(distinct date) as days, min(date) as first_seen, max(date) as last_seen from observations group by asn""",

@@ -3,8 +3,8 @@
 Files may hold any days, so a batch is no run: the ledger keeps the day of each last banner time, and what the latest day decides
 is read from the ledger after the last batch. The result doesn't follow the cut into batches.
 
-The ledger is a table in the shared folder, one version per batch; a batch that is run again after a loss writes its own
-version again from the one before, so its result doesn't change.
+The ledger is a table in the shared folder, one version per batch, and a pointer to the last; a batch that is run again after
+a loss writes its own version again from the one before, so its result doesn't change.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlens.operators import tripwire
-from harborlens.session import scratch_path
+from harborlens.session import file_system, replace_text, scratch_path
 
 
 def roll_days(ledger: DataFrame, hits: DataFrame) -> DataFrame:
@@ -34,27 +34,38 @@ def roll_days(ledger: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
-def stream_ledger(spark: SparkSession, path: str, tags: list[str], files_a_batch: int = 1000) -> DataFrame:
-    """ip, first_seen, last_seen, selectors, last_banner_ts, active after all files now in the folder."""
-    root = scratch_path(spark, "ledger")
+STATE = "ip string, first_seen date, last_seen date, selectors array<string>, last_banner struct<date: date, banner_ts: timestamp_ntz>"
+
+
+def _ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The version that the pointer names; an empty ledger where there is none yet."""
+    fs, pointer = file_system(spark, f"{root}/CURRENT")
+    if not fs.exists(pointer):
+        return spark.createDataFrame([], STATE)
+    return spark.read.schema(STATE).parquet(f"{root}/{spark.read.text(f'{root}/CURRENT').head()[0]}")
+
+
+def stream_ledger(spark: SparkSession, path: str, selectors: tripwire.Selectors, state: str | None = None, files_a_batch: int = 1000) -> DataFrame:
+    """ip, first_seen, last_seen, selectors, last_banner_ts, active after all files now in the folder.
+
+    With a state folder a later call takes up where the last one ended and reads new files only; without, the run stands alone.
+    """
+    root = state or scratch_path(spark, "ledger")
     schema = spark.read.parquet(path).schema
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch)
     folder, _, name = path.rpartition("/")
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    single = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jpath).isFile()
-    rows = source.option("pathGlobFilter", name).parquet(folder) if single else source.parquet(path)
-    state = "ip string, first_seen date, last_seen date, selectors array<string>, last_banner struct<date: date, banner_ts: timestamp_ntz>"
+    fs, jpath = file_system(spark, path)
+    rows = source.option("pathGlobFilter", name).parquet(folder) if fs.getFileStatus(jpath).isFile() else source.parquet(path)
 
     def run(batch: DataFrame, n: int) -> None:
-        ledger = spark.read.parquet(f"{root}/v{n - 1}") if n else spark.createDataFrame([], state)
-        roll_days(ledger, tripwire.flagged(batch, tags, ["date"])).write.mode("overwrite").parquet(f"{root}/v{n}")
-        done.append(n)
+        before = spark.read.schema(STATE).parquet(f"{root}/v{n - 1}") if n else spark.createDataFrame([], STATE)
+        roll_days(before, tripwire.flagged(tripwire.from_observations(batch), selectors, ["date"])).write.mode("overwrite").parquet(f"{root}/v{n}")
+        replace_text(spark, f"{root}/CURRENT", f"v{n}")
+        if n > 1:  # a batch that runs again needs the version before it, no older one
+            fs.delete(file_system(spark, f"{root}/v{n - 2}")[1], True)
 
-    done: list[int] = []
     stream = rows.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
     stream.awaitTermination()
-    out = spark.read.parquet(f"{root}/v{done[-1]}") if done else spark.createDataFrame([], state)
-    last = out.agg(F.max("last_seen").alias("run"))
-    return out.join(F.broadcast(last)).select(
-        "ip", "first_seen", "last_seen", F.concat_ws("|", "selectors").alias("selectors"), F.col("last_banner.banner_ts").alias("last_banner_ts"), (F.col("last_seen") == F.col("run")).alias("active")
-    )
+    out = _ledger(spark, root)
+    last = out.agg(F.max("last_seen")).scalar()
+    return out.select("ip", "first_seen", "last_seen", F.concat_ws("|", "selectors").alias("selectors"), F.col("last_banner.banner_ts").alias("last_banner_ts"), (F.col("last_seen") == last).alias("active"))
