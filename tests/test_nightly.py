@@ -58,8 +58,8 @@ def test_manifest(spark):
 def test_report(spark):
     schema = "tier string, reason string, score bigint, ip string, org string, city string, kev array<string>, ics array<string>, admin array<string>, dbs array<string>, epss double"
     rows = [("government", "r" * 40, s, f"10.0.0.{s}", None, "c", ["CVE-1"] if s else [], [], ["FTP"], [], 0.0 if s == 1 else 0.12345) for s in range(4)] + [("residential", "x", 0, "1.1.1.1", "o", None, [], [], [], [], 0.0)]
-    text = report.triage_markdown(spark.createDataFrame(rows, schema), "Brief", top=2)
-    assert "**5 unique hosts**" in text and "| government | 4 | 3 | 4 | 0 |" in text and "| education | 0 | 0 | 0 | 0 |" in text
+    text = report.triage_markdown(spark.createDataFrame(rows, schema), "Brief", top=2, honeypots=3)
+    assert "**5 unique hosts** classified (+3 honeypot host(s) excluded)." in text and "| government | 4 | 3 | 4 | 0 |" in text and "| education | 0 | 0 | 0 | 0 |" in text
     assert "## Government — 4 hosts (3 with a risk signal)" in text and "_No signals in this tier._" in text
     assert "| 3 | 10.0.0.3 |  | c | CVE-1 | — | FTP | — | 0.123 | " + "r" * 28 + " |" in text and "10.0.0.1 " not in text
     assert report.triage_markdown(spark.createDataFrame([], schema), "None").startswith("# None")
