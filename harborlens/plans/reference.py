@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from harborlens.functions.text import day_of_file
 from harborlens.operators import classify as C
 from harborlens.operators import exposure, geo, hosts, manifest, shards, tripwire
+from harborlens.plans import report
 from harborlens.plans.reference_sql import ORACLE  # noqa: F401
 from harborlens.session import scratch_path
 from harborlens.sources import archive
@@ -240,9 +242,10 @@ def _scored(s, d) -> DataFrame:
     """Hosts with their scores; honeypots are left out of what is reported."""
     h = _classified(hosts.without_honeypots(host_frame(s, d)))
     cves = exposure.enrich(h.select("date", "ip", F.explode("cves").alias("cve")), kev(s, d), epss(s, d), F.lit(0.0))
-    per_host = cves.groupBy("date", "ip").agg(F.count_if("in_kev").alias("n_kev"), F.max("epss").alias("max_epss"))
+    listed = F.array_sort(F.collect_set(F.when(F.col("in_kev"), F.col("cve")))).alias("kev")
+    per_host = cves.groupBy("date", "ip").agg(F.count_if("in_kev").alias("n_kev"), F.max("epss").alias("max_epss"), listed)
     names = {"ics": C.ICS_PORTS, "admin": C.ADMIN_PORTS, "dbs": C.DB_PORTS}
-    full = h.join(per_host, ["date", "ip"], "left").fillna({"n_kev": 0, "max_epss": 0.0}).withColumns({k: C.named_ports(F.col("ports"), v) for k, v in names.items()})
+    full = h.join(per_host, ["date", "ip"], "left").fillna({"n_kev": 0, "max_epss": 0.0}).withColumn("kev", F.coalesce("kev", F.array().cast("array<string>"))).withColumns({k: C.named_ports(F.col("ports"), v) for k, v in names.items()})
     return full.withColumn("score", C.score(F.col("n_kev"), F.size("ics"), F.size("admin"), F.size("dbs"), F.col("max_epss")))
 
 
@@ -273,6 +276,23 @@ def topn_per_tier(s, d):
     return flagged.where(F.col("rank") <= TOP_HOSTS)
 
 
+def _brief(s, d) -> DataFrame:
+    scored = _scored(s, d).withColumnRenamed("max_epss", "epss")
+    return scored.where(F.col("date") == banners(s, d).agg(F.max(day_of_file(F.col("src_file")))).scalar())
+
+
+@query
+def report_tiers(s, d):
+    """The brief's table of tiers of the last day."""
+    return report.tier_counts(_brief(s, d)).toDF("tier", "hosts", "with_kev", "with_admin", "with_ics", "signal")
+
+
+@query
+def report_hosts(s, d):
+    """The brief's lines of the last day's hosts."""
+    return report.host_lines(_brief(s, d), TOP_HOSTS)
+
+
 def _hits(s, d) -> DataFrame:
     return tripwire.flagged(tripwire.from_observations(observations(s, d)), SELECTORS, ["date"])
 

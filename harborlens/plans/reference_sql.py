@@ -57,9 +57,9 @@ k as (select *, case when rule <= 2 then 'critical_infrastructure' when rule <=
     else 'no attribution signal' end as reason from t4)"""
 
 _SCORE = f"""with {_HOSTS}, {_CLASSIFY},
-e as (select date, ip, count(*) filter (where cve in (select cve from kev_list)) as n_kev, max(coalesce(epss, 0.0)) as max_epss
-    from (select date, ip, unnest(cves) as cve from h) left join epss_scores using (cve) group by date, ip),
-s0 as (select k.*, coalesce(n_kev, 0) as n_kev, coalesce(max_epss, 0.0) as max_epss, list_sort({_ports(C.ICS_PORTS)}) as ics, list_sort({_ports(C.ADMIN_PORTS)}) as admin, list_sort({_ports(C.DB_PORTS)}) as dbs
+e as (select date, ip, count(*) filter (where cve in (select cve from kev_list)) as n_kev, max(coalesce(epss, 0.0)) as max_epss,
+    list_sort(list(distinct cve) filter (where cve in (select cve from kev_list))) as kev from (select date, ip, unnest(cves) as cve from h) left join epss_scores using (cve) group by date, ip),
+s0 as (select k.*, coalesce(n_kev, 0) as n_kev, coalesce(max_epss, 0.0) as max_epss, coalesce(kev, []) as kev_list_of, list_sort({_ports(C.ICS_PORTS)}) as ics, list_sort({_ports(C.ADMIN_PORTS)}) as admin, list_sort({_ports(C.DB_PORTS)}) as dbs
     from k left join e using (date, ip) where n_ports <= 100),
 s as (select *, cast(n_kev * 100 + len(ics) * 40 + len(admin) * 15 + len(dbs) * 25 + trunc(max_epss * 50) as bigint) as score from s0)"""
 
@@ -157,6 +157,12 @@ select rec_id, src_file, place from (select *, row_number() over (partition by s
     "honeypot_guard": f"with {_HOSTS} select date, ip, n_ports from h where n_ports <= 100",
     "tier_classify": f"with {_HOSTS}, {_CLASSIFY} select date, ip, tier, reason from k",
     "actionability_score": f"{_SCORE} select date, ip, n_kev, round(max_epss, 3) as epss, len(cves) as n_cves, score, array_to_string(products[1:3], '|') as products from s",
+    "report_tiers": f"""{_SCORE} select tier, count(*) as hosts, count(*) filter (where len(kev_list_of) > 0) as with_kev, count(*) filter (where len(admin) > 0) as with_admin,
+    count(*) filter (where len(ics) > 0) as with_ics, count(*) filter (where score > 0) as signal from s where date = (select max(date) from b) group by tier""",
+    "report_hosts": f"""{_SCORE}, r as (select *, row_number() over (partition by tier order by score desc, ip) as place from s where score > 0 and date = (select max(date) from b))
+select tier, place, '| ' || concat_ws(' | ', score, ip, substring(coalesce(org, ''), 1, 24), substring(coalesce(city, ''), 1, 14), coalesce(nullif(array_to_string(kev_list_of[1:3], ' '), ''), '—'),
+    coalesce(nullif(array_to_string(ics, ' '), ''), '—'), coalesce(nullif(array_to_string(admin, ' '), ''), '—'), coalesce(nullif(array_to_string(dbs, ' '), ''), '—'),
+    case when max_epss > 0 then cast(round(max_epss, 3) as varchar) else '—' end, substring(reason, 1, 28)) || ' |' as line from r where place <= 15""",
     "port_protocol_lookup": f"{_SCORE} select date, ip, {', '.join(_PIPE.format(c) for c in ('ics', 'admin', 'dbs'))} from s",
     "tier_accounting_spine": f"""{_SCORE}, spine(tier) as (values {", ".join(f"('{t}')" for t in C.TIERS)})
 select spine.tier, count(s.ip) as hosts, count(*) filter (where n_kev > 0) as with_kev, count(*) filter (where len(admin) > 0) as with_admin, count(*) filter (where len(ics) > 0) as with_ics
