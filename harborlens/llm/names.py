@@ -168,14 +168,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def roots(points: DataFrame, turns: DataFrame) -> DataFrame:
-    """block, core, root: the same root for all cores that chains of links within the radius join. points: block, core, unique.
+def _both_ways(links: DataFrame) -> DataFrame:
+    return links.unionByName(links.select("block", F.col("other").alias("core"), F.col("core").alias("other"))).distinct()
 
-    turns: block, core, other: two orders of the words of one name.
-    """
-    turned = turns.unionByName(turns.select("block", F.col("other").alias("core"), F.col("core").alias("other"))).distinct()
-    links = cut(radius_join(points, points).select("block", "core", "other").unionByName(turned))
-    return points.join(components(links), ["block", "core"], "left").select("block", "core", F.coalesce("root", "core").alias("root"))
+
+def _rooted(points: DataFrame, labels: DataFrame) -> DataFrame:
+    """points with root: their component's, or their own core where no link reaches them."""
+    return points.join(labels, ["block", "core"], "left").withColumn("root", F.coalesce("root", "core"))
 
 
 def _block() -> Column:
@@ -190,42 +189,6 @@ def _nearest(reached: DataFrame, of: str) -> DataFrame:
     return nearest.groupBy("block", of).agg(F.min("body").alias("found"), F.count(F.lit(1)).alias("n_found"))
 
 
-def bodies(parsed: DataFrame) -> DataFrame:
-    """name, body: equal for the spellings of one body. parsed: what read_parts gives."""
-    named = parsed.where("kind <> 'other'").withColumn("block", _block())
-    full = named.where("kind <> 'person' or given <> ''")
-    points = cut(full.select("block", F.explode(F.array("core", "turned")).alias("core")).distinct())
-    turns = full.where("core <> turned").select("block", "core", F.col("turned").alias("other"))
-    rooted = cut(full.join(roots(points, turns), ["block", "core"]))
-    body = lambda *c: F.concat_ws("|", *c)
-    whole = rooted.where("kind <> 'person' or purpose <> ''").withColumn("body", body("block", "root", "purpose"))
-    # practices without their purpose: the one body of that person
-    persons = whole.where("kind = 'person'").groupBy("block", "root").agg(F.collect_set("purpose").alias("all"), F.collect_set(F.when(F.col("doctor"), F.col("purpose"))).alias("doctors"))
-    bare = rooted.where("kind = 'person' and purpose = ''").join(persons, ["block", "root"], "left")
-    fitting = F.when(F.col("doctor"), F.col("doctors")).otherwise(F.col("all"))
-    bare = bare.withColumn("body", body("block", "root", F.when(F.size(fitting) == 1, fitting[0]).otherwise(F.lit(""))))
-    # only an initial: the nearest person of that purpose and initial
-    by_initial = F.concat_ws("|", F.lit("initial"), "purpose", "initial").alias("block")
-    short = named.where("kind = 'person' and given = ''").select("name", by_initial, "core")
-    known = whole.where("kind = 'person'").select(by_initial, "core", "body").distinct()
-    same = short.select("block", "core").distinct().join(known.select("block", "core"), ["block", "core"], "left_semi").select("block", "core", F.col("core").alias("other"), F.lit(0).alias("d"))
-    close = radius_join(short.select("block", "core").distinct(), known.select("block", "core").distinct()).unionByName(same)
-    reached = close.join(known.select("block", F.col("core").alias("other"), "body"), ["block", "other"])
-    asked = short.select("block", "core").distinct().join(_nearest(reached, "core"), ["block", "core"], "left")
-    asked = cut(asked.select("block", "core", F.when(F.col("n_found") == 1, F.col("found")).alias("found"), (F.coalesce("n_found", F.lit(0)) > 1).alias("torn")))
-    # those without such a person keep together by their components, and go with the nearest name in reach that found one
-    left, sure = asked.where("found is null"), asked.where("found is not null").select("block", F.col("core").alias("other"), F.col("found").alias("body"))
-    links = cut(radius_join(left, asked))
-    among = components(links.join(sure, ["block", "other"], "left_anti").select("block", "core", "other"))
-    left = cut(left.join(among, ["block", "core"], "left").select("block", "core", "torn", F.coalesce("root", "core").alias("root")))
-    torn = left.where("torn").select("block", "root").distinct()
-    passed = _nearest(links.join(sure, ["block", "other"]).join(left, ["block", "core"]), "root").where("n_found = 1").join(torn, ["block", "root"], "left_anti")
-    kept = left.join(passed, ["block", "root"], "left").select("block", "core", F.coalesce("found", body("block", "root")).alias("body"))
-    settled = sure.withColumnRenamed("other", "core").unionByName(kept)
-    initials = short.join(settled, ["block", "core"])
-    return whole.select("name", "body").unionByName(bare.select("name", "body")).unionByName(initials.select("name", "body")).unionByName(others(parsed))
-
-
 def _same_words(a: str, b: str) -> Column:
     """Whether the words of two sorted arrays are, one by one, the same, abbreviated or mistyped; an acronym's letters begin them."""
     letters = lambda x: f"concat('^', regexp_replace({x}, '(.)', '$1.*'))"
@@ -235,29 +198,77 @@ def _same_words(a: str, b: str) -> Column:
     return F.expr(f"forall(zip_with({a}, {b}, (x, y) -> struct(x, y)), p -> {same})")
 
 
-def others(parsed: DataFrame) -> DataFrame:
-    """name, body of the names without a purpose."""
-    named = parsed.where("kind = 'other'").select("name", F.concat_ws("|", F.lit("other"), "number").alias("block"), "core", "forms")
-    nodes = named.groupBy("block", "core").agg(F.first("forms").alias("forms"))  # they follow the core
+def _met(nodes: DataFrame) -> DataFrame:
+    """role, block, core, other: names without a purpose that meet at an anchor with the other words alike. nodes: block, core, forms."""
     each = cut(nodes.select(F.col("block").alias("of"), F.col("core").alias("node"), F.inline("forms")).withColumn("block", F.concat_ws("|", "of", "initials")))
     whole = each.where("role = 'whole'").select("block", F.col("anchor").alias("other"), F.col("node").alias("met"), F.col("rest").alias("their"))
     anchors, asked = whole.select("block", F.col("other").alias("core")).distinct(), each.select("block", F.col("anchor").alias("core")).distinct()
     near = radius_join(asked, anchors).select("block", F.col("core").alias("anchor"), "other")
     near = near.unionByName(asked.join(anchors, ["block", "core"], "left_semi").select("block", F.col("core").alias("anchor"), F.col("core").alias("other")))
     met = each.join(near, ["block", "anchor"]).join(whole, ["block", "other"]).where("node <> met").where(_same_words("rest", "their"))
-    met = cut(met.select("role", F.col("of").alias("block"), F.col("node").alias("core"), F.col("met").alias("other")).distinct())
-    rooted = components(met.where("role = 'whole'").select("block", "core", "other"))
-    rooted = written(nodes.select("block", "core").join(rooted, ["block", "core"], "left").select("block", "core", F.coalesce("root", "core").alias("root")), "rooted")
-    # a name that lacks a word, or is an acronym, joins the only body it may be short for
+    return met.select("role", F.col("of").alias("block"), F.col("node").alias("core"), F.col("met").alias("other")).distinct()
+
+
+def _short_for(met: DataFrame, rooted: DataFrame) -> DataFrame:
+    """block, core, other: a body whose names lack a word or are an acronym, and the only body that it may be short for. rooted: block, core, root."""
     shorter = met.where("role = 'less'").select("block", F.col("other").alias("core"), F.col("core").alias("long"))
     shorter = shorter.unionByName(met.where("role = 'acronym'").select("block", "core", F.col("other").alias("long")))
     of = rooted.select("block", F.col("core").alias("long"), F.col("root").alias("body"))
-    lacks = shorter.join(of, ["block", "long"]).join(rooted, ["block", "core"]).where("root <> body")
-    lacks = lacks.groupBy("block", "root").agg(F.min("body").alias("long"), F.count_distinct("body").alias("n")).where("n = 1")
-    joined = cut(lacks.select("block", F.col("root").alias("core"), F.col("long").alias("other")))
-    joined = components(joined.unionByName(joined.select("block", F.col("other").alias("core"), F.col("core").alias("other"))))
-    final = rooted.join(joined.select("block", F.col("core").alias("root"), F.col("root").alias("top")), ["block", "root"], "left")
-    return named.join(final, ["block", "core"]).select("name", F.concat_ws("|", "block", F.coalesce("top", "root")).alias("body"))
+    each = shorter.join(of, ["block", "long"]).join(rooted, ["block", "core"]).where("root <> body")
+    only = each.groupBy("block", "root").agg(F.min("body").alias("body"), F.count_distinct("body").alias("n")).where("n = 1")
+    return only.select("block", F.col("root").alias("core"), F.col("body").alias("other"))
+
+
+def bodies(parsed: DataFrame) -> DataFrame:
+    """name, body: equal for the spellings of one body. parsed: what read_parts gives.
+
+    Components are found twice, each time for all blocks at once: of the links between cores (and names without a purpose), and
+    then of what these leave open, names with an initial alone and names that are short for others.
+    """
+    body = lambda *c: F.concat_ws("|", *c)
+    named = parsed.where("kind <> 'other'").withColumn("block", _block())
+    full = named.where("kind <> 'person' or given <> ''")
+    points = cut(full.select("block", F.explode(F.array("core", "turned")).alias("core")).distinct())
+    turns = _both_ways(full.where("core <> turned").select("block", "core", F.col("turned").alias("other")))
+    plain = parsed.where("kind = 'other'").select("name", body(F.lit("other"), "number").alias("block"), "core", "forms")
+    nodes = plain.groupBy("block", "core").agg(F.first("forms").alias("forms"))  # they follow the core
+    met = cut(_met(nodes))
+    links = radius_join(points, points).select("block", "core", "other").unionByName(turns).unionByName(met.where("role = 'whole'").select("block", "core", "other"))
+    labels = components(cut(links))
+    rooted = cut(_rooted(full, labels))
+    whole = rooted.where("kind <> 'person' or purpose <> ''").withColumn("body", body("block", "root", "purpose"))
+    # practices without their purpose: the one body of that person
+    persons = whole.where("kind = 'person'").groupBy("block", "root").agg(F.collect_set("purpose").alias("all"), F.collect_set(F.when(F.col("doctor"), F.col("purpose"))).alias("doctors"))
+    bare = rooted.where("kind = 'person' and purpose = ''").join(persons, ["block", "root"], "left")
+    fitting = F.when(F.col("doctor"), F.col("doctors")).otherwise(F.col("all"))
+    bare = bare.withColumn("body", body("block", "root", F.when(F.size(fitting) == 1, fitting[0]).otherwise(F.lit(""))))
+    # only an initial: the nearest person of that purpose and initial
+    by_initial = body(F.lit("initial"), "purpose", "initial").alias("block")
+    short = named.where("kind = 'person' and given = ''").select("name", by_initial, "core")
+    known = cut(whole.where("kind = 'person'").select(by_initial, "core", "body").distinct())
+    shorts = cut(short.select("block", "core").distinct())
+    same = shorts.join(known.select("block", "core"), ["block", "core"], "left_semi").select("block", "core", F.col("core").alias("other"), F.lit(0).alias("d"))
+    close = radius_join(shorts, known.select("block", "core").distinct()).unionByName(same)
+    reached = close.join(known.select("block", F.col("core").alias("other"), "body"), ["block", "other"])
+    asked = shorts.join(_nearest(reached, "core"), ["block", "core"], "left")
+    asked = cut(asked.select("block", "core", F.when(F.col("n_found") == 1, F.col("found")).alias("found"), (F.coalesce("n_found", F.lit(0)) > 1).alias("torn")))
+    # those without such a person keep together by their components, and go with the nearest name in reach that found one
+    left, sure = asked.where("found is null"), asked.where("found is not null").select("block", F.col("core").alias("other"), F.col("found").alias("body"))
+    near = cut(radius_join(left, asked))
+    grounds = written(_rooted(nodes.select("block", "core"), labels), "grounds")
+    second = near.join(sure, ["block", "other"], "left_anti").select("block", "core", "other").unionByName(_both_ways(_short_for(met, grounds)))
+    labels = components(cut(second))
+    left = cut(_rooted(left.select("block", "core", "torn"), labels))
+    torn = left.where("torn").select("block", "root").distinct()
+    passed = _nearest(near.join(sure, ["block", "other"]).join(left, ["block", "core"]), "root").where("n_found = 1").join(torn, ["block", "root"], "left_anti")
+    kept = left.join(passed, ["block", "root"], "left").select("block", "core", F.coalesce("found", body("block", "root")).alias("body"))
+    initials = short.join(sure.withColumnRenamed("other", "core").unionByName(kept), ["block", "core"])
+    tops = grounds.join(labels.select("block", F.col("core").alias("root"), F.col("root").alias("top")), ["block", "root"], "left")
+    others = plain.join(tops, ["block", "core"]).withColumn("body", body("block", F.coalesce("top", "root")))
+    out = whole.select("name", "body")
+    for part in (bare, initials, others):
+        out = out.unionByName(part.select("name", "body"))
+    return out
 
 
 def link(rows: DataFrame, columns: list[str]) -> DataFrame:
