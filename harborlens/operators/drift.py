@@ -39,7 +39,7 @@ def feed(name: Column) -> Column:
 
 def broken_lines(lines: DataFrame) -> DataFrame:
     """src_file, n_broken."""
-    bad = F.coalesce(~F.schema_of_variant(F.try_parse_json("record")).startswith("OBJECT"), F.lit(True))
+    bad = F.coalesce(~F.ltrim("record").startswith("{") | F.try_parse_json("record").isNull(), F.lit(True))
     return lines.groupBy("src_file").agg(F.count_if(bad).alias("n_broken"))
 
 
@@ -86,9 +86,11 @@ def _fitting(value: Column, plain: Column, kind: str) -> Column:
 
 def ingest(lines: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
     """src_file, line_no, the typed target columns, and ``rescued``: the other values, by field, as JSON text. One projection."""
-    parsed = lines.select("src_file", "line_no", F.try_parse_json("record").alias("doc"), F.from_json("record", "map<string,string>").alias("plain")).where(F.schema_of_variant("doc").startswith("OBJECT"))
-    each = F.map_filter(F.transform_values(F.try_variant_get("doc", "$", "map<string,variant>"), lambda k, v: F.to_json(v)), lambda k, v: v != "null")
-    values = parsed.select("src_file", "line_no", each.alias("doc"), "plain")
+    kept = lines.where(F.ltrim("record").startswith("{"))
+    parsed = kept.select("src_file", "line_no", F.try_variant_get(F.try_parse_json("record"), "$", "map<string,variant>").alias("each"), F.from_json("record", "map<string,string>").alias("plain"))
+    texts = parsed.withColumn("doc", F.map_filter(F.transform_values("each", lambda k, v: F.to_json(v)), lambda k, v: v != "null"))
+    # a generator drops the lines that are no object without a filter, which would be pushed down and parse again
+    values = texts.select("src_file", "line_no", F.inline(F.array_compact(F.array(F.when(F.col("doc").isNotNull(), F.struct("doc", "plain"))))))
     typed = [_fitting(F.col("doc")[n], F.col("plain")[n], kind).alias(n) for n, kind in target.items()]
     out = values.select("src_file", "line_no", *typed, "doc", "plain")
     good = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in target]))
