@@ -23,6 +23,24 @@ def p1_bodies(spark: SparkSession, folder: str) -> DataFrame:
     return linked.join(each, "body").select("name", "body_name", "n_spellings")
 
 
+def _letters(spark: SparkSession, folder: str) -> DataFrame:
+    """block, core: the distinct names of org and isp in plain letters and digits, as one block."""
+    spelt = names.spellings(table(spark, folder, "observations"), ["org", "isp"])
+    return spelt.select(F.lit("all").alias("block"), F.regexp_replace(F.lower("name"), "[^a-z0-9]", "").alias("core")).where("core <> ''").distinct()
+
+
+def p1_radius(spark: SparkSession, folder: str) -> DataFrame:
+    """The radius join alone: every two of the plain names that are within the radius, with their distance."""
+    points = cut(_letters(spark, folder))
+    return names.radius_join(points, points).select("core", "other", F.col("d").cast("bigint").alias("d"))
+
+
+def p1_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Each of the plain names that any other is within the radius of, with the least name of its component."""
+    points = cut(_letters(spark, folder))
+    return names.components(cut(names.radius_join(points, points).select("block", "core", "other"))).select("core", "root")
+
+
 def _documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", *columns)
 
@@ -58,8 +76,15 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentences(_documents(spark, folder, "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_bodies, p8_ids, p9_pack, p9_fill, p9_invariants, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_bodies, p1_radius, p1_components, p8_ids, p9_pack, p9_fill, p9_invariants, p10_found)}
+
+_RADIUS = """n as (select org as name from observations union select isp from observations),
+c as (select distinct regexp_replace(lower(name), '[^a-z0-9]', '', 'g') as core from n where name is not null),
+l as (select a.core, b.core as other, levenshtein(a.core, b.core) as d from c a join c b on a.core <> b.core and a.core <> '' and b.core <> '' and abs(length(a.core) - length(b.core)) <= 2
+    where levenshtein(a.core, b.core) <= least(2, least(length(a.core), length(b.core)) // 3))"""
 
 ORACLE: dict[str, str] = {
+    "p1_radius": f"with {_RADIUS} select core, other, d from l",
+    "p1_components": f"with recursive {_RADIUS}, r(core, at) as (select distinct core, core from l union select r.core, l.other from r join l on l.core = r.at) select core, min(at) as root from r group by core",
     "p9_invariants": "select count(*) as documents, 0::bigint as wrong_sums, 0::bigint as needless_cuts, 0::bigint as too_full, 0::bigint as overlapping from documents",
 }

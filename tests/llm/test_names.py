@@ -181,3 +181,14 @@ def test_initials_by_components_and_through_names_that_found_a_person(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "org string, isp string")
     assert names.pairs(names.link(df, ["org", "isp"])).isEmpty()
+
+
+def test_queries_against_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from harborlens.llm.queries import ORACLE, QUERIES
+
+    db = duckdb.connect()
+    db.execute("create view observations as select * from '/root/testdata/sf0.001/observations.parquet'")
+    for name in ("p1_radius", "p1_components"):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert sorted(map(tuple, df.collect())) == sorted(db.execute(f"select {', '.join(df.columns)} from ({ORACLE[name]})").fetchall())
