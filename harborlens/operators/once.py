@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlens.session import cut, file_system, replace_text, scratch_path
+from harborlens.session import cut, file_system, read_text, replace_text, scratch_path, written
 
 KEY = "message"
 BITS_A_BITMAP = 32768
@@ -54,25 +54,18 @@ class SeenState:
     root: str
     buckets: int | None = None
 
-    def _read(self, name: str) -> str:
-        fs, path = file_system(self.spark, f"{self.root}/{name}")
-        return self.spark.read.text(f"{self.root}/{name}").head()[0] if fs.exists(path) else ""
-
-    def _replace(self, name: str, text: str) -> None:
-        replace_text(self.spark, f"{self.root}/{name}", text)
-
     @property
     def table(self) -> str:
         return f"seen_{hashlib.md5(self.root.encode()).hexdigest()}"
 
-    def begin(self, rows: DataFrame) -> None:
+    def begin(self, rows: int) -> None:
         """Declares the dictionary. Its buckets, fixed once, divide the shuffle partitions, so that a bucket comes whole from one task."""
-        known = self._read("BUCKETS")
+        known = read_text(self.spark, f"{self.root}/BUCKETS")
         if not known:
             partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            most = max(1, rows.count() // ROWS_A_BUCKET)  # of a table, from the files' footers
+            most = max(1, rows // ROWS_A_BUCKET)
             known = str(self.buckets or max(d for d in range(1, min(most, partitions) + 1) if partitions % d == 0))
-            self._replace("BUCKETS", known)
+            replace_text(self.spark, f"{self.root}/BUCKETS", known)
         self.buckets = int(known)
         columns = f"{KEY} string, shard bigint, ordinal bigint, landing string, firsts array<bigint>"
         self.spark.sql(f"create table if not exists {self.table} ({columns}) using parquet clustered by ({KEY}) into {self.buckets} buckets location '{self.root}/dictionary'")
@@ -89,11 +82,11 @@ class SeenState:
         return fs.exists(path) and any(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(path))
 
     def deliveries(self) -> list[str]:
-        return [d for d in self._read("CURRENT").split(",") if d]
+        return [d for d in read_text(self.spark, f"{self.root}/CURRENT").split(",") if d]
 
     def bitmaps(self) -> DataFrame:
         """shard, bucket, bitmap: the union over all deliveries in force, which must be some."""
-        parts = self.spark.read.parquet(*[f"{self.root}/{d}" for d in self.deliveries()])
+        parts = self.spark.read.schema("shard bigint, bucket bigint, bitmap binary").parquet(*[f"{self.root}/{d}" for d in self.deliveries()])
         return parts.groupBy("shard", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
 
     def publish(self, bits: DataFrame) -> None:
@@ -104,15 +97,15 @@ class SeenState:
             new = new.unionByName(self.bitmaps()).groupBy("shard", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
             before = []
         new.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
-        self._replace("CURRENT", ",".join([*before, name]))
+        replace_text(self.spark, f"{self.root}/CURRENT", ",".join([*before, name]))
 
 
-def land(rows: DataFrame, state: SeenState, batch: Column | None = None, batches: int = 1) -> DataFrame:
+def land(rows: DataFrame, state: SeenState, batch: Column | None = None, batches: int = 1, n_rows: int | None = None) -> DataFrame:
     """shard, ordinal and the first arrival in each batch (an array) of every message of the rows.
 
     One aggregation by message, combined on the map side: a message delivered very often is one row per map task.
     """
-    state.begin(rows)
+    state.begin(rows.count() if n_rows is None else n_rows)  # the count of a table comes from the files' footers
     batch = F.lit(0) if batch is None else batch
     firsts = F.array(*[F.min(F.when(F.col("batch") == i, F.col("obs_id"))) for i in range(batches)])
     messages = rows.where("banner_ts is not null").select("obs_id", batch.alias("batch"), message_key().alias(KEY)).groupBy(KEY).agg(firsts.alias("firsts"))
@@ -138,9 +131,7 @@ def deliver(arrivals: DataFrame, state: SeenState, batch: int = 0) -> DataFrame:
         octet = F.conv(F.hex(F.substring("bitmap", (F.expr("bit div 8") + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
         coded = coded.join(state.bitmaps(), ["shard", "bucket"], "left").withColumn("octet", F.coalesce(octet, F.lit(0)))
         coded = coded.where(F.expr("shiftright(octet, cast(bit % 8 as int)) & 1") == 0).drop("bitmap", "octet")
-    path = scratch_path(state.spark, "kept")
-    coded.write.parquet(path)
-    kept = state.spark.read.parquet(path)
+    kept = written(coded, "kept")
     state.publish(kept.select("shard", "bucket", "bit"))
     return kept.select("obs_id")
 
@@ -153,10 +144,10 @@ def deliver_batch(rows: DataFrame, state: SeenState) -> DataFrame:
 def first_arrivals(rows: DataFrame, deliveries: int = DELIVERIES) -> DataFrame:
     """The obs_id of the arrivals to keep of a whole table, delivered in that many batches by order of obs_id, against a state of its own."""
     state = SeenState(rows.sparkSession, scratch_path(rows.sparkSession, "seen"))
-    low, high = rows.agg(F.min("obs_id"), F.max("obs_id")).head()
+    low, high, n = rows.agg(F.min("obs_id"), F.max("obs_id"), F.count(F.lit(1))).head()
     span = (high or 0) - (low or 0) + 1
     batch = F.floor((F.col("obs_id") - F.lit(low or 0)).cast("decimal(38,0)") * deliveries / F.lit(span)).cast("int") if span > 1 else F.lit(0)
-    arrivals = land(rows, state, batch, deliveries)
+    arrivals = land(rows, state, batch, deliveries, n)
     kept = [deliver(arrivals, state, i) for i in range(deliveries)]
     state.end()
     out = kept[0]

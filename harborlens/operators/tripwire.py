@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from harborlens.functions.text import given
 from harborlens.operators.geo import is_place
-from harborlens.session import file_system, replace_text, written
+from harborlens.session import file_system, read_text, replace_text, written
 
 log = logging.getLogger(__name__)
 
@@ -130,10 +130,10 @@ class Ledger:
     root: str
 
     def read(self) -> DataFrame:
+        name = read_text(self.spark, f"{self.root}/CURRENT")
         try:
-            name = self.spark.read.text(f"{self.root}/CURRENT").head()[0]
-            return self.spark.read.schema(LEDGER).parquet(f"{self.root}/{name}")
-        except (PySparkException, TypeError):  # no pointer, an empty one, or no table where it points
+            return self.spark.read.schema(LEDGER).parquet(f"{self.root}/{name}") if name else empty_ledger(self.spark)
+        except PySparkException:  # no table where the pointer points
             return empty_ledger(self.spark)
 
     def save(self, ledger: DataFrame) -> DataFrame:

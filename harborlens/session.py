@@ -51,6 +51,18 @@ def file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, read without a job; '' where there is none."""
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        return ""
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Writes a small text file by one rename, so that readers see the old text or the new one."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -100,4 +112,4 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: like ``cut``, but what follows is planned by the size it has."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

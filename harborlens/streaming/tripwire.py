@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlens.operators import tripwire
-from harborlens.session import file_system, replace_text, scratch_path
+from harborlens.session import file_system, read_text, replace_text, scratch_path
 
 
 def roll_days(ledger: DataFrame, hits: DataFrame) -> DataFrame:
@@ -39,10 +39,8 @@ STATE = "ip string, first_seen date, last_seen date, selectors array<string>, la
 
 def _ledger(spark: SparkSession, root: str) -> DataFrame:
     """The version that the pointer names; an empty ledger where there is none yet."""
-    fs, pointer = file_system(spark, f"{root}/CURRENT")
-    if not fs.exists(pointer):
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{root}/{spark.read.text(f'{root}/CURRENT').head()[0]}")
+    name = read_text(spark, f"{root}/CURRENT")
+    return spark.read.schema(STATE).parquet(f"{root}/{name}") if name else spark.createDataFrame([], STATE)
 
 
 def stream_ledger(spark: SparkSession, path: str, selectors: tripwire.Selectors, state: str | None = None, files_a_batch: int = 1000) -> DataFrame:
