@@ -85,6 +85,6 @@ l as (select a.core, b.core as other, levenshtein(a.core, b.core) as d from c a
 
 ORACLE: dict[str, str] = {
     "p1_radius": f"with {_RADIUS} select core, other, d from l",
-    "p1_components": f"with recursive {_RADIUS}, r(core, at) as (select distinct core, core from l union select r.core, l.other from r join l on l.core = r.at) select core, min(at) as root from r group by core",
+    "p1_components": f"with recursive {_RADIUS}, r(core, node) as (select distinct core, core from l union select r.core, l.other from r join l on l.core = r.node) select core, min(node) as root from r group by core",
     "p9_invariants": "select count(*) as documents, 0::bigint as wrong_sums, 0::bigint as needless_cuts, 0::bigint as too_full, 0::bigint as overlapping from documents",
 }
