@@ -54,6 +54,8 @@ class Parts(NamedTuple):
 SMALL = {"of", "and", "for", "at"}
 _SKIPPED = set(L.LEGAL) | set(L.TITLES) | set(L.FILLERS)
 GIVEN = {short: given for given, forms in reversed(L.GIVEN.items()) for short in forms.split()} | {g: g for g in L.GIVEN}
+#: Words of a name up to which it is met by names that lack one of them.
+MOST_WORDS = 32
 #: Tokens a reader remembers; a bound of memory that changes no result.
 REMEMBERED = 200_000
 _ROMAN = re.compile(r"x{0,3}(ix|iv|v?i{0,3})$")
@@ -292,6 +294,6 @@ def forms(tokens: list[str]) -> list[Form]:
         for acronym, word in (tokens, tokens[::-1]):
             if 2 <= len(acronym) <= 5 < len(word) and acronym[0] == word[0]:
                 out.append(_form(word, list(acronym[1:]), "acronym"))
-    if len(tokens) > 2:
+    if 2 < len(tokens) <= MOST_WORDS:
         out += [_form(tokens[0], tokens[1:i] + tokens[i + 1 :], "less") for i in range(1, len(tokens))]
     return list({(f.initials, f.anchor, tuple(f.rest), f.role): f for f in out}.values())

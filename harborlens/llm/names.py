@@ -24,6 +24,8 @@ Defined cases
     * a name with only the initial of its given name joins the nearest fitting person of that purpose, if only one is nearest;
       without one in reach, such names of one purpose and initial that chains within the radius join belong together, and go with
       the nearest such name that found its person, if only one person is nearest. Names between two persons go with neither.
+    * a name whose core has more than 2,000 letters (LONGEST) belongs together with those of the same core alone.
+    * a name of more than 32 words (MOST_WORDS) is met as a whole and by its ends, and not by names that lack a word of it.
     * in a table of few names no word is common, and all are compared as names without a purpose.
 """
 
@@ -35,8 +37,8 @@ from pyspark.sql import functions as F
 from harborlens.llm.name_parts import GIVEN, Purpose, prune
 from harborlens.session import cut, written
 
-#: Two cores are linked within RADIUS edits and within a third of the shorter one's letters.
-RADIUS, LETTERS_AN_EDIT = 2, 3
+#: Two cores are linked within RADIUS edits and within a third of the shorter one's letters; beyond LONGEST letters they must be equal.
+RADIUS, LETTERS_AN_EDIT, LONGEST = 2, 3, 2000
 #: A word is common, and a phrase a purpose, that stands beside so many different others, or beside such a share of the distinct names if that is more.
 #: The share bounds what the driver gets: at most 1 / SHARE phrases, and 1 / SHARE words for each word that names have on average.
 LEAST, SHARE = 5, 1 / 1500
@@ -140,8 +142,9 @@ def _probes(core: str) -> Column:
 
 def radius_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """block, core, other, d: every core of the right within the radius of each of the left, in the same block."""
-    probes = left.select("block", "core", F.explode(_probes("core")).alias("key"))
-    index = right.select("block", F.col("core").alias("other"), F.explode(_segments("core")).alias("key"))
+    usual = F.length("core") <= LONGEST
+    probes = left.where(usual).select("block", "core", F.explode(_probes("core")).alias("key"))
+    index = right.where(usual).select("block", F.col("core").alias("other"), F.explode(_segments("core")).alias("key"))
     pairs = probes.join(index, ["block", "key"]).where("core <> other").select("block", "core", "other").distinct()
     reach = F.least(F.lit(RADIUS), F.floor(F.least(F.length("core"), F.length("other")) / LETTERS_AN_EDIT))
     return pairs.withColumn("d", F.levenshtein("core", "other", RADIUS)).where((F.col("d") >= 0) & (F.col("d") <= reach))

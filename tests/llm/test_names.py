@@ -183,6 +183,11 @@ def test_empty(spark):
     assert names.pairs(names.link(df, ["org", "isp"])).isEmpty()
 
 
+def test_very_long_names(spark):
+    long = ["w" + " x".join(map(str, range(5000))), "z" * 200_000, "Z" * 200_000, "z" * 199_999 + "y", "q" * 1999, "q" * 1998, "public library " * 300]
+    assert linked_pairs(spark, long) == together(long[1:3], long[4:6])
+
+
 def test_queries_against_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     from harborlens.llm.queries import ORACLE, QUERIES
