@@ -111,6 +111,7 @@ def _decide(h: Column, s: Column, w: Column) -> Column:
     def keyword(kind: str, word: Column) -> Column:
         return F.concat(F.lit(f"{kind} '"), word, F.lit("'"), via)
 
+    # the reasons are fixed values: output that must match
     nameless = (F.size(h["hosts"]) == 0) & (F.size(h["domains"]) == 0)
     return (
         F.when(h["ics"] != "", out("critical_infrastructure", F.concat(F.lit("ICS protocol exposed: "), h["ics"])))

@@ -32,7 +32,7 @@ BITS_A_BITMAP = 32768
 #: Rows that a bucket of the dictionary is laid out for, and delivered bitmaps from which on they are merged into one.
 ROWS_A_BUCKET, MERGE_FROM = 1 << 20, 16
 #: Batches that a table without a state is delivered in.
-DELIVERIES = 4
+DELIVERIES = 2
 
 
 def message_key() -> Column:
