@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain, pairwise
 
 import regex
 from pyspark.sql import DataFrame
@@ -189,18 +190,27 @@ class Encoder:
             own = [(w, b) for w, b in zip(words, raw, strict=True) if some(len(b))]
             self.known.update(zip([w for w, _ in own], ids([b for _, b in own]), strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def flat(self, texts: list[str | None]) -> tuple[list[int], list[int]]:
+        """The ids of all texts one after the other, and where each text's begin and the last one's end."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
         split = [self.split(t) if t else [] for t in texts]
         known = self.known
-        new = list(dict.fromkeys(w for words in split for w in words if w not in known))
+        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known]
         self.learn(new)
-        out = [[i for w in words for i in known[w]] for words in split]
+        ids: list[int] = []
+        ends = [0]
+        for words in split:
+            ids.extend(chain.from_iterable(map(known.__getitem__, words)))
+            ends.append(len(ids))
         for w in new:
             if len(w) > LONG:  # hardly met again, and large
                 del known[w]
-        return out
+        return ids, ends
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        ids, ends = self.flat(texts)
+        return [ids[a:b] for a, b in pairwise(ends)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         import pyarrow as pa
@@ -242,7 +252,9 @@ def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabu
     def work(encoder, batch):
         import pyarrow as pa
 
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoder.encode(batch.column(1).to_pylist()), pa.list_(pa.int64()))], names=[key, "ids"])
+        ids, ends = encoder.flat(batch.column(1).to_pylist())
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int64()))
+        return pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "ids"])
 
     return _mapped(documents, [key, text], f"{key} bigint, ids array<bigint>", work, vocabulary or Vocabulary.load())
 
@@ -253,7 +265,8 @@ def token_counts(documents: DataFrame, key: str = "doc_id", text: str = "text",
     def work(encoder, batch):
         import pyarrow as pa
 
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in encoder.encode(batch.column(1).to_pylist())], pa.int64())], names=[key, "n_tokens"])
+        _, ends = encoder.flat(batch.column(1).to_pylist())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([b - a for a, b in pairwise(ends)], pa.int64())], names=[key, "n_tokens"])
 
     return _mapped(documents, [key, text], f"{key} bigint, n_tokens bigint", work, vocabulary or Vocabulary.load())
 
