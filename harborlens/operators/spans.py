@@ -43,9 +43,10 @@ def _let(name: str, value: str, body: str) -> str:
 
 
 def _uncovered(blocks: str) -> str:
-    """The blocks none of whose ancestors is among them."""
-    above = f"transform(sequence(x div {_SHIFT} + 1, {LEVELS + 1}L), l -> l * {_SHIFT} + shiftrightunsigned(x % {_SHIFT}, int(l - x div {_SHIFT})))"
-    return f"filter({blocks}, x -> not arrays_overlap({above}, {blocks}))"
+    """The blocks none of whose ancestors is among them; ancestors are looked for up to the level of the highest block."""
+    level = f"x div {_SHIFT}"
+    above = f"transform(sequence({level} + 1, top), l -> l * {_SHIFT} + shiftrightunsigned(x % {_SHIFT}, int(l - {level})))"
+    return _let("top", f"array_max({blocks}) div {_SHIFT}", f"filter({blocks}, x -> {level} = top or not arrays_overlap({above}, {blocks}))")
 
 
 def _merged(blocks: str) -> str:
