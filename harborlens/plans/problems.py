@@ -159,7 +159,35 @@ select src_file, line_no, {", ".join(columns)},
     array_to_string(list_sort(list_filter(json_keys(r), lambda k: coalesce(json_type(r -> ('$."' || k || '"')), 'NULL') <> 'NULL' and not list_contains([{", ".join(used)}], k))), ',') as rescued from o"""
 
 
+_CHANGES = f"""with j as (select src_file, record::json as r from observation_files where json_valid(record)), o as (select * from j where json_type(r) = 'OBJECT'),
+e as (select src_file, k as field, r -> ('$."' || k || '"') as v from (select src_file, r, unnest(json_keys(r)) as k from o)),
+v as (select src_file, field, case json_type(v) when 'VARCHAR' then 'string' when 'OBJECT' then 'object' when 'ARRAY' then 'array' when 'BOOLEAN' then 'boolean' else 'number' end as kind, lower(v ->> '$') as text
+    from e where coalesce(json_type(v), 'NULL') <> 'NULL'),
+kinds as (select src_file, field, arg_min(kind, (-n, kind)) as kind from (select src_file, field, kind, count(*) as n from v group by all) group by all),
+files as (select src_file, lag(src_file) over (partition by split_part(src_file, '-events-', 1) order by src_file) as before from (select distinct src_file from observation_files)),
+f as (select src_file, before from files where before is not null),
+now as (select src_file, field, kind from kinds join f using (src_file)), old as (select f.src_file, field, kind from kinds k join f on k.src_file = f.before),
+sides as (select src_file, field, old.kind as old_kind, now.kind as new_kind from now full join old using (src_file, field)),
+possible as (select g.src_file, g.field as old_field, n.field as new_field from sides g join sides n on g.src_file = n.src_file and g.new_kind is null and n.old_kind is null),
+words as (select field, unnest(case when text in ('true', 'false') then [] when len(regexp_extract_all(text, '\\p{{L}}+')) > 0 then regexp_extract_all(text, '\\p{{L}}+')
+    when contains(regexp_replace(text, '[0-9]+', '9', 'g'), '9.9') then [regexp_replace(text, '[0-9]+', '9', 'g')] else [] end) as feature from v),
+c as (select field, feature, count(*)::double as n from words group by all), norms as (select field, sqrt(sum(n * n)) as norm from c group by field),
+dots as (select p.old_field, p.new_field, sum(a.n * b.n) as dot from (select distinct old_field, new_field from possible) p join c a on a.field = p.old_field join c b on b.field = p.new_field and b.feature = a.feature group by all),
+cosines as (select d.old_field, d.new_field, round(dot / a.norm / b.norm, 9) as cosine from dots d join norms a on a.field = d.old_field join norms b on b.field = d.new_field),
+ranked as (select p.*, row_number() over (partition by src_file, old_field order by cosine desc, new_field) as r_old, row_number() over (partition by src_file, new_field order by cosine desc, old_field) as r_new
+    from possible p join cosines using (old_field, new_field) where cosine >= {drift.ALIKE}),
+renamed as (select src_file, old_field, new_field from ranked where r_old = 1 and r_new = 1),
+changes as (select src_file, 'renamed' as change_kind, old_field, new_field from renamed
+    union all select src_file, 'retyped', field, field from sides where old_kind <> new_kind
+    union all select src_file, 'removed', field, '' from sides where new_kind is null and (src_file, field) not in (select src_file, old_field from renamed)
+    union all select src_file, 'added', '', field from sides where old_kind is null and (src_file, field) not in (select src_file, new_field from renamed))"""
+
+_TARGETS = ", ".join(f"'{f}'" for f in drift.TARGET)
+
 ORACLE = {
+    "p6_found": f"{_CHANGES} select * from changes",
+    "p6_proposals": f"""{_CHANGES}, ways as (select src_file, old_field as field, new_field as alias from changes where change_kind = 'renamed' union all select src_file, new_field, old_field from changes where change_kind = 'renamed')
+select split_part(src_file, '-events-', 1) as feed, alias, field, count(*) as n from ways where field in ({_TARGETS}) and alias not in ({_TARGETS}) group by all""",
     "p6_table": _drift_sql(),
     "p2_found": f"with {_MESSAGES} select obs_id from copies",
     "p3_found": f"""with {_CVES},
