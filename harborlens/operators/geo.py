@@ -25,18 +25,21 @@ def key_bits(family: int, n: int) -> int:
     return n + min(SPREAD_BITS, max(0, KEY_BITS[family] - n))
 
 
-def network_prefixes(networks: DataFrame) -> DataFrame:
-    """family (bits of an address), n (length), prefix (the leading bits), place (country, region) from cidr, country, region."""
+def _keyed(networks: DataFrame) -> DataFrame:
     length = F.split_part("cidr", F.lit("/"), F.lit(2)).cast("int")
     whole = bits(F.split_part("cidr", F.lit("/"), F.lit(1)))
-    keyed = networks.select(F.length(whole).alias("family"), length.alias("n"), F.substring(whole, F.lit(1), length).alias("prefix"), "country", "region").where("prefix is not null")
-    return keyed.groupBy("family", "n", "prefix").agg(F.min(F.struct("country", "region")).alias("place"))
+    return networks.select(F.length(whole).alias("family"), length.alias("n"), F.substring(whole, F.lit(1), length).alias("prefix"), "country", "region").where("prefix is not null")
+
+
+def network_prefixes(networks: DataFrame) -> DataFrame:
+    """family (bits of an address), n (length), prefix (the leading bits), place (country, region) from cidr, country, region."""
+    return _keyed(networks).groupBy("family", "n", "prefix").agg(F.min(F.struct("country", "region")).alias("place"))
 
 
 def locate(addresses: DataFrame, networks: DataFrame, ip: str = "ip") -> DataFrame:
     """The rows of addresses with country and region. Distinct addresses are located once, so a frequent one isn't hot."""
     prefixes = network_prefixes(networks)
-    sizes = sorted((r.family, r.n) for r in prefixes.select("family", "n").distinct().toLocalIterator())  # at most 33 + 129 of them
+    sizes = sorted((r.family, r.n) for r in _keyed(networks).select("family", "n").distinct().collect())  # at most 33 + 129 of them
     single = addresses.select(ip).distinct().withColumn("key", bits(F.col(ip))).where("key is not null")
     ask = lambda f, n: F.when(F.length("key") == f, F.struct(F.lit(n).alias("n"), F.substring("key", 1, key_bits(f, n)).alias("part")))
     none = F.array().cast("array<struct<n:int,part:string>>")

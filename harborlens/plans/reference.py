@@ -44,8 +44,14 @@ observations, vulns, banners = _t("observations"), _t("vulns"), _t("daily_downlo
 kev, epss = _t("kev_list"), _t("epss_scores")
 
 
+def _inline(s: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A few fixed rows as a table of literals, which needs no Python worker."""
+    values = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+    return s.sql(f"select * from values {values} as t({columns})")
+
+
 def networks(s: SparkSession) -> DataFrame:
-    return s.createDataFrame(NETWORKS, "cidr string, country string, region string")
+    return _inline(s, NETWORKS, "cidr, country, region")
 
 
 def state(s: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -264,7 +270,7 @@ def tier_accounting_spine(s, d):
     counted = _scored(s, d).groupBy("tier").agg(
         F.count(F.lit(1)).alias("hosts"), F.count_if(F.col("n_kev") > 0).alias("with_kev"), F.count_if(F.size("admin") > 0).alias("with_admin"), F.count_if(F.size("ics") > 0).alias("with_ics")
     )
-    spine = s.createDataFrame([(t, i) for i, t in enumerate(C.TIERS)], "tier string, place int")
+    spine = _inline(s, [(t, i) for i, t in enumerate(C.TIERS)], "tier, place")
     return spine.join(counted, "tier", "left").fillna(0).select("tier", "hosts", "with_kev", "with_admin", "with_ics")
 
 
