@@ -6,6 +6,7 @@ stands under each of its parts that are up to SPREAD_BITS longer, so that the ad
 
 Defined cases
     * no address, and one outside all networks, has a null country and region.
+    * a network without a length is one address; what is no network holds none.
     * equal networks with different places: the lesser (country, region) wins; unknown places are not the target.
 """
 
@@ -26,9 +27,10 @@ def key_bits(family: int, n: int) -> int:
 
 
 def _keyed(networks: DataFrame) -> DataFrame:
-    length = F.split_part("cidr", F.lit("/"), F.lit(2)).cast("int")
     whole = bits(F.split_part("cidr", F.lit("/"), F.lit(1)))
-    return networks.select(F.length(whole).alias("family"), length.alias("n"), F.substring(whole, F.lit(1), length).alias("prefix"), "country", "region").where("prefix is not null")
+    length = F.when(F.col("cidr").contains("/"), F.split_part("cidr", F.lit("/"), F.lit(2)).try_cast("int")).otherwise(F.length(whole))
+    keyed = networks.select(F.length(whole).alias("family"), length.alias("n"), F.substring(whole, F.lit(1), length).alias("prefix"), "country", "region")
+    return keyed.where("n between 0 and family")
 
 
 def network_prefixes(networks: DataFrame) -> DataFrame:

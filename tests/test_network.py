@@ -40,6 +40,14 @@ def test_longest_network_wins(spark):
         assert r.region == (str(max(holding, key=lambda n: n.prefixlen)) if holding else None)
 
 
+def test_odd_networks(spark):
+    odd = ["10.0.0.7", "10.0.0.0/x", "10.0.0.0/", "10.0.0.0/99", "", None, "/8", "bad/8", "10.0.0.8/-1"]
+    table = spark.createDataFrame([(n, "QX", n) for n in odd] + [("10.0.0.7/32", "QX", None)], "cidr string, country string, region string")
+    got = {r.ip: r.country for r in geo.locate(spark.createDataFrame([("10.0.0.7",), ("10.0.0.8",), ("10.0.0.0",), ("",)], "ip string"), table).collect()}
+    assert got == {"10.0.0.7": "QX", "10.0.0.8": None, "10.0.0.0": None, "": None}
+    assert {r.country for r in geo.locate(spark.createDataFrame([("10.0.0.7",)], "ip string"), table.limit(0)).collect()} == {None}
+
+
 def test_gate_matrix(spark):
     cases = [(i, c, r, l, o) for i, (c, r, l, o) in enumerate([("U", "L", None, None), ("U", "T", ("c", "L", "U"), None), ("U", "T", ("c", "T", "U"), "Big LAND org"), (None, None, None, "x"), (None, None, ("c", None, "U"), None)])]
     df = spark.createDataFrame(cases, "i int, country string, region string, location struct<city:string,region_code:string,country_code:string>, org string")
